@@ -58,9 +58,14 @@ def _cast(df: DataFrame, columns: dict[str, str] | None, convert) -> DataFrame:
 
 
 def write_slice(batch: DataFrame, path: str) -> None:
-    """Write rows carrying ``batch_id``; a re-run replaces only the slices it holds."""
+    """Write rows carrying ``batch_id``; a re-run replaces only the slices it holds.
+
+    Rebalancing gathers each slice into few files and still splits a slice too large
+    for one task.
+    """
     (
-        batch.write.mode("overwrite")
+        batch.hint("rebalance", "batch_id")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")
         .parquet(path)
