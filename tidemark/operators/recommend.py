@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.columns import hash_bits
+from tidemark.operators.bias import BiasModel
 from tidemark.operators.order import global_positions
 
 # Primes above any catalogue size, hence coprime to it. A step of this
@@ -76,6 +77,18 @@ def first_unseen(users: DataFrame, ranked: DataFrame, history: DataFrame, n: int
     return listed.join(ranked, "position").select("user_id", "rank", *[c for c in ranked.columns if c != "position"])
 
 
+def best_unseen_by_bias(model: BiasModel, users: DataFrame, history: DataFrame, n: int = 10) -> DataFrame:
+    """(user_id, rank, item_id, score): top-N unseen items by the additive model.
+
+    Mean and user bias shift all items of a user alike, so one order of item biases
+    serves everyone and ``first_unseen`` needs no user-by-item product.
+    """
+    ranked = global_positions(model.items.withColumn("_down", -F.col("item_bias")), ["_down", "item_id"]).drop("_down")
+    listed = first_unseen(users, ranked, history, n).join(model.users, "user_id", "left")
+    estimate = F.lit(model.mean) + F.coalesce("user_bias", F.lit(0.0)) + F.col("item_bias")
+    return listed.select("user_id", "rank", "item_id", model.clip(estimate).alias("score"))
+
+
 def cold_start_recs(users: DataFrame, history: DataFrame, n: int = 10) -> DataFrame:
     """The popular list for users without history, carried as one n-entry value."""
     top = popular_items(history, n)
