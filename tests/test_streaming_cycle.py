@@ -1,0 +1,132 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.config import EngineConfig, FactorConfig, SliceConfig
+from tidemark.operators import gate, quality
+from tidemark.plans.cycle import CyclePaths, NoMoreData, run_cycle, run_weekly
+from tidemark.sources import state
+from tidemark.streaming import jobs
+
+ORDER = ("ts", "tie")
+
+
+@pytest.fixture
+def arrive(spark, ratings, tmp_path):
+    """Write one more file into the source folder."""
+
+    def build(rows):
+        df = ratings(rows)
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        return df.schema
+
+    return build
+
+
+def source(spark, schema, tmp_path, files=1):
+    return jobs.read_slices(spark, str(tmp_path / "in"), schema, files)
+
+
+def test_ingest_resumes_and_keeps_only_new_rows(spark, arrive, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
+    schema = arrive([(1, 10, 4.0, 1), (2, 20, 4.0, 2)])
+    jobs.ingest(source(spark, schema, tmp_path), out, checkpoint, ORDER)
+    arrive([(1, 10, 4.0, 1), (3, 30, 4.0, 3)])
+    jobs.ingest(source(spark, schema, tmp_path), out, checkpoint, ORDER)
+    jobs.ingest(source(spark, schema, tmp_path), out, checkpoint, ORDER)
+    got = spark.read.parquet(out).orderBy("user_id").collect()
+    assert [(r.user_id, r.batch_id) for r in got] == [(1, 1), (2, 1), (3, 2)]
+
+
+def test_ingest_again_after_a_lost_checkpoint_changes_nothing(spark, arrive, tmp_path):
+    schema = arrive([(1, 10, 4.0, 1), (2, 20, 4.0, 2)])
+    for name in ("ck1", "ck2"):
+        jobs.ingest(source(spark, schema, tmp_path), str(tmp_path / "out"), str(tmp_path / name), ORDER)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_ingest_stops_or_quarantines(spark, arrive, tmp_path):
+    schema = arrive([(1, 10, 9.0, 1), (2, 20, 4.0, 2)])
+    with pytest.raises(Exception, match="range:rating"):
+        jobs.ingest(source(spark, schema, tmp_path), str(tmp_path / "out"), str(tmp_path / "ck"), ORDER)
+    jobs.ingest(source(spark, schema, tmp_path), str(tmp_path / "ok"), str(tmp_path / "ck3"), ORDER, str(tmp_path / "bad"))
+    assert [r.user_id for r in spark.read.parquet(str(tmp_path / "ok")).collect()] == [2]
+    assert [list(r.reasons) for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == [["range:rating"]]
+
+
+def test_dedup_drops_repeats_and_late_rows(spark, arrive, tmp_path):
+    day = 86_400
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
+
+    def run(schema):
+        unique = jobs.deduplicate(source(spark, schema, tmp_path), "1 day").select("user_id", "item_id", "ts")
+        jobs.run_available(unique, checkpoint, jobs.append_epochs(out))
+
+    run(arrive([(1, 1, 4.0, 10 * day), (1, 1, 3.0, 10 * day)]))
+    schema = arrive([(1, 1, 4.0, 10 * day), (2, 1, 4.0, 10 * day + 5), (3, 1, 4.0, 2 * day)])
+    run(schema)
+    got = sorted(r.user_id for r in spark.read.parquet(out).collect())
+    assert got == [1, 2]
+
+
+def test_windows(spark, arrive, tmp_path):
+    day = 86_400
+    schema = arrive([(u, 1, 4.0, d * day + u) for d in (0, 1, 3) for u in range(5)])
+    counts = jobs.windowed_activity(source(spark, schema, tmp_path), 3)
+    jobs.run_available(counts, str(tmp_path / "ck"), jobs.append_epochs(str(tmp_path / "out")), "update")
+    got = {r.window_start: (r.num_interactions, r.active_users) for r in jobs.latest_by_key(spark.read.parquet(str(tmp_path / "out")), "window_start").collect()}
+    assert got == {0: (10, 5), 3 * day: (5, 5)}
+
+
+def test_latest_sequences_keep_state_between_runs(spark, arrive, tmp_path):
+    rng = random.Random(11)
+    rows = [(rng.randrange(4), rng.randrange(50), 4.0, rng.randrange(1000)) for _ in range(120)]
+    out = str(tmp_path / "out")
+    for part in (rows[:70], rows[70:]):
+        schema = arrive(part)
+        jobs.run_available(
+            jobs.latest_sequences(source(spark, schema, tmp_path, None), 5), str(tmp_path / "ck"), jobs.append_epochs(out), "update"
+        )
+    got = {r.user_id: list(r.sequence) for r in jobs.latest_by_key(spark.read.parquet(out), "user_id").collect()}
+    numbered = [(*r, i) for part in (rows[:70], rows[70:]) for i, r in enumerate(part)]
+    for u in range(4):
+        own = sorted((r[3], r[4], r[1]) for r in numbered if r[0] == u)
+        times = [t[:2] for t in own]
+        if len(set(times)) == len(times):
+            assert got[u] == [i for _, _, i in own][-5:]
+    assert set(got) == {0, 1, 2, 3}
+
+
+CFG = EngineConfig(slices=SliceConfig(days=20), factors=FactorConfig(rank=2, iterations=2))
+
+
+def test_cycles_release_log_and_gate(spark, ratings, tmp_path):
+    rng = random.Random(12)
+    day = 86_400
+    master = ratings([(rng.randrange(15), rng.randrange(25), rng.choice([1.0, 3.5, 5.0]), t * day // 10) for t in range(400)]).checkpoint()
+    root = str(tmp_path / "cycle")
+    first = run_cycle(spark, master, root, ORDER, CFG).first()
+    second = run_cycle(spark, master, root, ORDER, CFG).first()
+    assert (first.batch_id, first.num_released, first.num_new, first.promoted) == (1, 200, 200, True)
+    assert (second.batch_id, second.num_released, second.num_history) == (2, 200, 400)
+    assert first.model_type == gate.SEQUENCE and 0 <= first.ndcg <= 1 and first.test_rmse > 0
+    paths = CyclePaths(root)
+    saved = state.load_state(spark, paths.state)
+    assert (saved.last_released_batch, saved.total_ratings_released) == (2, 400)
+    log = state.load_metric_log(spark, paths.metric_log).orderBy("batch_id").collect()
+    assert [r.batch_id for r in log] == [1, 2] and {"test_rmse", "ndcg@10", "precision@10"} <= set(log[0].metrics)
+    with pytest.raises(NoMoreData):
+        run_cycle(spark, master, root, ORDER, CFG)
+
+
+def test_weekly_cycle(spark, ratings):
+    rng = random.Random(13)
+    pairs = rng.sample([(u, i) for u in range(15) for i in range(20)], 200)
+    rows = [(u, i, rng.choice([1.0, 3.0, 5.0]), t) for t, (u, i) in enumerate(pairs)]
+    current = ratings(rows)
+    report = run_weekly(spark, current, current.filter(F.col("ts") < 150), None, ORDER, CFG).first()
+    assert report.num_new == 50 and report.promoted
+    assert not run_weekly(spark, current, None, 0.0, ORDER, CFG).first().promoted
+    with pytest.raises(quality.InvalidBatch):
+        run_weekly(spark, current.unionByName(current.limit(1).withColumn("ts", F.lit(9999).cast("long"))), None, None, ORDER, CFG)

@@ -34,7 +34,8 @@ def drift_distances(reference: DataFrame, current: DataFrame, columns: Sequence[
     placed = running_sums(value_counts(reference, current, columns), "column", "value", ["ref", "cur"], previous=True)
     totals = placed.groupBy("column").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     spread = _long(reference, columns, "ref").groupBy("column").agg(F.stddev_pop("value").alias("ref_std"))
-    share = lambda side, own: (F.col(f"cum_{side}") - own) / F.col(f"n_{side}")
+    # NULL where a side is empty.
+    share = lambda side, own: F.try_divide(F.col(f"cum_{side}") - own, F.col(f"n_{side}"))
     gap = F.abs(share("ref", F.lit(0)) - share("cur", F.lit(0)))
     # Between two values both distributions stay at their level before the later one.
     level = F.abs(share("ref", F.col("ref")) - share("cur", F.col("cur")))
@@ -53,7 +54,7 @@ def drift_distances(reference: DataFrame, current: DataFrame, columns: Sequence[
 
 
 def ks_critical(n_ref: Column, n_cur: Column) -> Column:
-    return F.lit(KS_FACTOR) * F.sqrt((n_ref + n_cur) / (n_ref.cast("double") * n_cur))
+    return F.lit(KS_FACTOR) * F.sqrt(F.try_divide(n_ref + n_cur, n_ref.cast("double") * n_cur))
 
 
 def column_drift(
