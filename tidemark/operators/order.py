@@ -6,8 +6,8 @@ by user puts a hot user there. Two tools replace them:
 * ``rank_cuts`` finds the rows at given ranks from a histogram and resolves only the
   histogram buckets the cuts fall into. Splits need no more than these rows.
 * ``ordered_segments`` range-partitions by a unique key, so even a single hot second
-  or user is cut into even parts, and checkpoints the parts because a re-run of a
-  range exchange may choose other bounds.
+  or user is cut into even parts, and stores the parts because a re-run of a range
+  exchange may choose other bounds.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.session import checkpoint_dir
+from tidemark.session import stored
 
 SEGMENT_BITS = 33
 # Most rows a plain window may put into one task; larger groups take the segment path.
@@ -29,18 +29,16 @@ def ordered_segments(df: DataFrame, keys: Sequence[str], segments: int | None =
 
     ``keys`` must identify rows uniquely, otherwise a group of equal keys stays whole.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    count = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (
+    count = segments or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = (
         df.repartitionByRange(count, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_row", F.monotonically_increasing_id())
         .withColumn("_seg", F.shiftright("_row", SEGMENT_BITS))
         .withColumn("_idx", F.col("_row").bitwiseAND((1 << SEGMENT_BITS) - 1))
         .drop("_row")
-        .checkpoint()
     )
+    return stored(parts, "segments")
 
 
 def global_positions(df: DataFrame, keys: Sequence[str], name: str = "position") -> DataFrame:
@@ -108,7 +106,7 @@ def hot_groups(df: DataFrame, by: str, limit: int | None = None) -> DataFrame |
     """Keys of groups too large for one task, or None when there are none."""
     size = F.count(F.lit(1))
     hot = df.groupBy(by).agg(size.alias("_n")).filter(F.col("_n") > (limit or GROUP_ROWS_LIMIT)).select(by)
-    hot = hot.checkpoint()
+    hot = stored(hot, "hot")
     return None if hot.isEmpty() else hot
 
 
@@ -165,27 +163,40 @@ def rank_cuts(
     total = sum(row.n for row in histogram)
     wanted = list(ranks(total))
 
-    located: dict[int, tuple[int, int, int]] = {}
+    # Bucket and rank within it of every cut that exists.
+    located: dict[int, tuple] = {}
+    sizes = {}
     for rank in {r for r in wanted if 1 <= r <= total}:
         before = 0
         for row in histogram:
             if rank <= before + row.n:
-                located[rank] = (row["_bucket"], rank - before, row.n)
+                located[rank] = (row["_bucket"], rank - before)
+                sizes[row["_bucket"]] = row.n
                 break
             before += row.n
 
-    found: dict[int, tuple] = {}
-    for rank, (value, inner, size) in located.items():
-        rows = narrow.filter(F.col("_bucket") == F.lit(value)).drop("_bucket")
-        if size <= GROUP_ROWS_LIMIT:
-            placed = rows.select("*", F.row_number().over(Window.orderBy(*keys)).alias("_pos"))
-        else:
-            placed = global_positions(rows, keys, "_pos")
-        hit = placed.filter(F.col("_pos") == inner).first()
-        found[rank] = tuple(hit[k] for k in keys)
+    hits: dict[tuple, tuple] = {}
+    small = [b for b, n in sizes.items() if n <= GROUP_ROWS_LIMIT]
+    if small:
+        rows = narrow.filter(F.col("_bucket").isin(small))
+        in_bucket = Window.partitionBy("_bucket").orderBy(*keys)
+        hits |= _rows_at(rows.withColumn("_pos", F.row_number().over(in_bucket)), keys, located.values(), small)
+    for bucket_value in sizes.keys() - set(small):
+        rows = global_positions(narrow.filter(F.col("_bucket") == F.lit(bucket_value)), keys, "_pos")
+        hits |= _rows_at(rows, keys, located.values(), [bucket_value])
+    found = {rank: hits[place] for rank, place in located.items()}
     return total, [found.get(r) for r in wanted]
 
 
+def _rows_at(placed: DataFrame, keys: Sequence[str], places, buckets: Sequence) -> dict[tuple, tuple]:
+    """Keys of the rows at the given (bucket, position) places, at most one per cut."""
+    spots = [p for p in places if p[0] in buckets]
+    hit = F.lit(False)
+    for bucket, position in spots:
+        hit = hit | ((F.col("_bucket") == F.lit(bucket)) & (F.col("_pos") == position))
+    return {(r["_bucket"], r["_pos"]): tuple(r[k] for k in keys) for r in placed.filter(hit).collect()}
+
+
 def up_to(keys: Sequence[str], bound: tuple | None) -> Column:
     """True for rows at or before ``bound`` in ``keys`` order; no bound, no rows."""
     if bound is None:

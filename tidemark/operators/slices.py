@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.columns import DAY_SECONDS, calendar_day
-from tidemark.session import checkpoint_dir
+from tidemark.session import stored
 
 
 def after_watermark(df: DataFrame, high_water_mark: int | None) -> DataFrame:
@@ -45,20 +45,19 @@ def slice_chain(df: DataFrame, days: int) -> DataFrame:
     """(batch_id, slice_start, slice_end) of every slice of the table.
 
     A slice starts at the first row at or after the previous end, so starts depend on
-    the data and a fixed-width window is wrong. Each step is one small aggregate over
-    the checkpointed runs; there are at most span / days steps.
+    the data and a fixed-width window is wrong. Each step looks up one row of the
+    stored runs; there are at most span / days steps.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
     width = days * DAY_SECONDS
-    runs = occupied_runs(df).checkpoint()
+    runs = stored(occupied_runs(df), "runs")
     chain = []
     start = runs.agg(F.min("run_start")).first()[0]
     while start is not None:
         chain.append((len(chain) + 1, start, start + width))
-        end = F.lit(start + width)
-        start = runs.filter(F.col("run_end") >= end).agg(F.min(F.greatest("run_start", end))).first()[0]
-    return spark.createDataFrame(chain, "batch_id int, slice_start long, slice_end long")
+        end = start + width
+        later = runs.filter(F.col("run_end") >= end).orderBy("run_start").first()
+        start = None if later is None else max(later.run_start, end)
+    return df.sparkSession.createDataFrame(chain, "batch_id int, slice_start long, slice_end long")
 
 
 def assign_slices(df: DataFrame, days: int) -> DataFrame:

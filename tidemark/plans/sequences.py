@@ -8,7 +8,7 @@ from tidemark.config import SequenceConfig
 from tidemark.operators import evaluation, filters, recommend, sequences, slices, split, transitions
 from tidemark.plans.registry import Tables, query
 from tidemark.plans.rows import EVENT_CUT, LINE_CUT, SLICE_DAYS
-from tidemark.session import work_path
+from tidemark.session import stored, work_path
 from tidemark.sources import files
 from tidemark.sources.tables import EVENT_ORDER
 
@@ -339,7 +339,7 @@ union all select user_id, item_id, slot from drawn where slot <= 4
 
 @query("negative_sample", OPTION_SQL)
 def negative_sample(t: Tables) -> DataFrame:
-    ranked = recommend.popularity_order(t.events).select("item_id", "position").checkpoint()
+    ranked = stored(recommend.popularity_order(t.events).select("item_id", "position"), "ranked")
     users = t.events.select("user_id").distinct()
     # Only the ten most popular items are on offer, so some users have fewer than four left.
     top = ranked.filter(F.col("position") <= TOP)

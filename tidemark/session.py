@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only; memory, cores and shuffle.partitions stay with the cluster.
 RUNTIME_SETTINGS = {
@@ -49,6 +49,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared folder and continue from the files.
+
+    Cuts lineage like a checkpoint, but computes the last stage once and keeps column
+    pruning. The files stay until the folder is cleaned.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a table one job writes and reads back."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
