@@ -32,20 +32,18 @@ def drift_distances(reference: DataFrame, current: DataFrame, columns: Sequence[
     """Per column: row counts, largest gap of the two distributions, area between them
     and the spread of the reference."""
     placed = running_sums(value_counts(reference, current, columns), "column", "value", ["ref", "cur"], previous=True)
-    totals = placed.groupBy("column").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     spread = _long(reference, columns, "ref").groupBy("column").agg(F.stddev_pop("value").alias("ref_std"))
     # NULL where a side is empty.
-    share = lambda side, own: F.try_divide(F.col(f"cum_{side}") - own, F.col(f"n_{side}"))
+    share = lambda side, own: F.try_divide(F.col(f"cum_{side}") - own, F.col(f"all_{side}"))
     gap = F.abs(share("ref", F.lit(0)) - share("cur", F.lit(0)))
     # Between two values both distributions stay at their level before the later one.
     level = F.abs(share("ref", F.col("ref")) - share("cur", F.col("cur")))
-    # Two small tables: one row per monitored column.
+    # One row per monitored column on both sides of the join.
     return (
-        placed.join(F.broadcast(totals), "column")
-        .groupBy("column")
+        placed.groupBy("column")
         .agg(
-            F.first("n_ref").alias("n_ref"),
-            F.first("n_cur").alias("n_cur"),
+            F.max("all_ref").alias("n_ref"),
+            F.max("all_cur").alias("n_cur"),
             F.max(gap).alias("ks"),
             F.coalesce(F.sum(level * (F.col("value") - F.col("prev_value"))), F.lit(0.0)).alias("wasserstein"),
         )

@@ -61,10 +61,9 @@ def evaluate_candidate(
 
 
 def evaluate_predictions(predictions: DataFrame, order: Sequence[str], k: int = 10, threshold: float = 3.5) -> DataFrame:
-    errors = rating_errors(predictions).select("rmse", "mae")
-    # Both sides are one row.
-    ranked = precision_recall(predictions, order, k, threshold).select("precision", "recall", "num_users")
-    return errors.select("*", F.lit(1).alias("_one")).join(ranked.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    errors = predictions.agg(F.struct(rmse().alias("rmse"), mae().alias("mae")).alias("e")).scalar()
+    ranked = precision_recall(predictions, order, k, threshold)
+    return ranked.withColumn("_e", errors).select("_e.rmse", "_e.mae", "precision", "recall", "num_users")
 
 
 def ranking_metrics(relevant: DataFrame, recommended: DataFrame, k: int = 10) -> DataFrame:

@@ -58,7 +58,8 @@ def global_positions(df: DataFrame, keys: Sequence[str], name: str = "position")
 def running_sums(
     df: DataFrame, by: str, value: str, sums: Sequence[str], previous: bool = False
 ) -> DataFrame:
-    """Add ``cum_<s>``: sum of ``s`` over all rows of the same ``by`` up to ``value``.
+    """Add ``cum_<s>``: sum of ``s`` over all rows of the same ``by`` up to ``value``,
+    and ``all_<s>``: the sum over the whole ``by``.
 
     ``by`` holds few distinct entries (names of monitored columns); ``value`` is
     unique within it and may be of any cardinality. With ``previous``, ``prev_<value>``
@@ -76,11 +77,13 @@ def running_sums(
         "_seg",
         F.lag("_t_last").over(in_order).alias("_b_last"),
         *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_b_{s}") for s in sums],
+        *[F.sum(f"_t_{s}").over(Window.partitionBy(by)).alias(f"all_{s}") for s in sums],
     )
     inside = Window.partitionBy("_seg", by).orderBy("_idx")
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     out = parts.join(F.broadcast(offsets), [by, "_seg"]).select(
         *df.columns,
+        *[f"all_{s}" for s in sums],
         *[(F.col(f"_b_{s}") + F.sum(s).over(upto)).alias(f"cum_{s}") for s in sums],
         F.coalesce(F.lag(value).over(inside), F.col("_b_last")).alias(f"prev_{value}"),
     )

@@ -16,11 +16,11 @@ def after_watermark(df: DataFrame, high_water_mark: int | None) -> DataFrame:
 def next_slice(df: DataFrame, high_water_mark: int | None, days: int) -> DataFrame:
     """Rows of the window that starts at the first remaining row and spans ``days``.
 
-    The start is a scalar subquery: one narrow min, then a filter the scan can use.
+    The end is a scalar subquery, one narrow min, and reaches the scan as a bare bound.
     """
     remaining = after_watermark(df, high_water_mark)
-    start = remaining.agg(F.min("ts").alias("start")).scalar()
-    return remaining.filter(F.col("ts") < start + F.lit(days * DAY_SECONDS))
+    end = remaining.agg((F.min("ts") + F.lit(days * DAY_SECONDS)).alias("end")).scalar()
+    return remaining.filter(F.col("ts") < end)
 
 
 def occupied_runs(df: DataFrame) -> DataFrame:

@@ -114,11 +114,13 @@ def retrain_trigger(t: Tables) -> DataFrame:
     latest = metadata.agg(F.max("batch_id")).first()[0]
     found = drift.detect_drift(batches.filter(F.col("batch_id") < latest), batches.filter(F.col("batch_id") == latest))
     worse = gate.degradation(metric_series(t), ["test_rmse"]).filter(F.col("model_type") == gate.RATING)
+    # One verdict each, for the latest batch.
+    drifted, degraded = found.first().drift_detected, worse.first().degraded
     return monitor.retrain_trigger(
         monitor.batch_monitoring(batches),
         metadata,
-        found.withColumn("batch_id", F.lit(latest)),
-        worse.withColumn("batch_id", F.lit(latest)),
+        t.spark.createDataFrame([(latest, drifted)], "batch_id int, drift_detected boolean"),
+        t.spark.createDataFrame([(latest, degraded)], "batch_id int, degraded boolean"),
         SCHEDULE_DAYS,
         MIN_NEW_ROWS,
     )
