@@ -16,6 +16,8 @@ def spark():
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        # Keep several range segments even on tiny inputs, so that their seams are tested.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1b")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()

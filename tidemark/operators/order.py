@@ -28,11 +28,11 @@ def ordered_segments(df: DataFrame, keys: Sequence[str], segments: int | None =
     """Add ``_seg`` and ``_idx``: part number and position within it in ``keys`` order.
 
     ``keys`` must identify rows uniquely, otherwise a group of equal keys stays whole.
+    Without ``segments``, adaptive execution joins neighbouring small ranges.
     """
-    count = segments or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = df.repartitionByRange(segments, *keys) if segments else df.repartitionByRange(*keys)
     parts = (
-        df.repartitionByRange(count, *keys)
-        .sortWithinPartitions(*keys)
+        ranges.sortWithinPartitions(*keys)
         .withColumn("_row", F.monotonically_increasing_id())
         .withColumn("_seg", F.shiftright("_row", SEGMENT_BITS))
         .withColumn("_idx", F.col("_row").bitwiseAND((1 << SEGMENT_BITS) - 1))

@@ -23,16 +23,30 @@ def read_slices(spark: SparkSession, path: str, schema: T.StructType, files_per_
 
 
 def run_available(
-    stream: DataFrame, checkpoint: str, each_batch: Callable[[DataFrame, int], None], mode: str = "append"
+    stream: DataFrame,
+    checkpoint: str,
+    each_batch: Callable[[DataFrame, int], None],
+    mode: str = "append",
+    state_partitions: int | None = None,
 ) -> None:
-    """Process everything not yet processed, then stop; a later call resumes."""
-    query = (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(each_batch)
-        .start()
-    )
+    """Process everything not yet processed, then stop; a later call resumes.
+
+    ``state_partitions`` fixes the number of state stores when the checkpoint is new;
+    it cannot change later. The default is the session's shuffle partitions.
+    """
+    conf = stream.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
+    try:
+        query = (
+            stream.writeStream.outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(each_batch)
+            .start()
+        )
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
     query.awaitTermination()
 
 
