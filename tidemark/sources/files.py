@@ -98,13 +98,9 @@ def write_slice_metadata(metadata: DataFrame, path: str) -> None:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when the folder holds anything a reader would see."""
-    try:
-        return not spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).drop("content").isEmpty()
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
+    """One lookup on whatever file system the path names; nothing is listed."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def with_ingestion_time(metadata: DataFrame, dataset_version: str, path: str) -> DataFrame:
