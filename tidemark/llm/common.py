@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import tidemark.llm
 from tidemark.session import configure
 from tidemark.sources import tables
 
+# Functions that run on executors travel whole, so these need no copy of the package.
+cloudpickle.register_pickle_by_value(tidemark.llm)
+
 # Rows of one Arrow batch. Texts differ in length by four orders of magnitude, so a batch
 # is kept short: ten thousand long texts at once would not fit a worker.
 BATCH_ROWS = 1000

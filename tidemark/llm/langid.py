@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.common import held_out, prepared, utf8
 from tidemark.llm.sampling import balanced_sample
@@ -212,7 +212,7 @@ def identify(docs: DataFrame, net: Network | None, label: str = "lang_pred", sco
     """``docs`` with a predicted language and the pooled probability of it, in one pass."""
     prepared(docs.sparkSession)
     lettered = docs.withColumn("has_letter__", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    schema = docs.schema.add(label, "string").add(score, "double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(label, T.StringType()), T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import langid, secrets, simhash, toxicity
+from tidemark.llm import bpe, langid, secrets, simhash, toxicity
 from tidemark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +94,22 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op7_byte_bpe")
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, path).mapInArrow(_token_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def _token_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = [row.as_py() for row in batch["ids"]]
+        columns = [
+            batch["doc_id"],
+            pa.array([len(row) for row in ids], pa.int64()),
+            pa.array([hashlib.sha256(",".join(map(str, row)).encode()).hexdigest() for row in ids]),
+            pa.array([hashlib.sha256(row.as_py()).hexdigest() for row in batch["decoded"]]),
+        ]
+        yield pa.record_batch(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

@@ -150,12 +150,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, **options)
 def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, score) of every row; the score is rounded to six places."""
     spark = prepared(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)  # one float for each of the fixed number of buckets
+    weights = None if model is None else (model.gain, model.bias)
+    shared = spark.sparkContext.broadcast(weights)  # one float for each of the fixed number of buckets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = shared.value is not None and batch.num_rows
-            found = scores(shared.value, batch["text"]).round(6) if known else np.zeros(batch.num_rows)
+            found = scores(Model(*shared.value), batch["text"]).round(6) if known else np.zeros(batch.num_rows)
             yield pa.record_batch([batch["doc_id"].cast(pa.int64()), pa.array(found, pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
