@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import langid, secrets, simhash
+from tidemark.llm import bpe, decontaminate, langid, secrets, simhash
 from tidemark.llm.common import table
 from tidemark.session import stored
 
@@ -24,6 +25,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return simhash.one_of_each_group(docs, shingle=3, radius=2)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents that hold no benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep all documents, with secrets in their texts replaced."""
     ledger = secrets.Ledger.create(spark)
@@ -31,10 +37,19 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return secrets.redact(docs, ledger)
 
 
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, ids, n_bytes): the token ids of every text and the bytes that they decode to."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, path).select("doc_id", "ids", F.length("decoded").cast("long").alias("n_bytes"))
+
+
 STAGES = [
     ("language_id", language_stage),
     ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
     ("secrets", secrets_stage),
+    ("byte_bpe", encoding_stage),
 ]
 ORACLE_SQL = None
 

@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, langid, secrets, simhash, toxicity
+from tidemark.llm import bpe, decontaminate, langid, secrets, simhash, toxicity
 from tidemark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,8 @@ def _token_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             pa.array([hashlib.sha256(row.as_py()).hexdigest() for row in batch["decoded"]]),
         ]
         yield pa.record_batch(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+@query("op9_decontamination")
+def benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
