@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, langid, secrets, simhash, toxicity
+from tidemark.llm import bpe, decontaminate, langid, secrets, simhash, suffix_dedup, toxicity
 from tidemark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,11 @@ def _token_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 @query("op9_decontamination")
 def benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_suffix_dedup")
+def suffix_dedup_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), length=400)
+    size = F.octet_length("text").cast("long")
+    removed = size - F.octet_length("kept")
+    return found.select("doc_id", size.alias("n_bytes"), removed.alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
