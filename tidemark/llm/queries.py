@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, langid, secrets, simhash, suffix_dedup, toxicity
+from tidemark.llm import bpe, decontaminate, langid, secrets, simhash, suffix_dedup, topk, toxicity
 from tidemark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,21 @@ def suffix_dedup_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.octet_length("text").cast("long")
     removed = size - F.octet_length("kept")
     return found.select("doc_id", size.alias("n_bytes"), removed.alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+TOP_K_SQL = """
+with q as (
+  select vec_id, [floor(256 * cast(x as double)) for x in embedding] as v from embeddings
+  where vec_id is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scored as (
+  select a.vec_id as query_id, b.vec_id as vec_id,
+         cast(list_dot_product(a.v, b.v) as bigint) as score
+  from q a join q b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.v) = len(b.v)),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as place from scored)
+select query_id, cast(place as int) as rank, vec_id, score from ranked where place <= 5
+"""
+
+
+@query("op5_top_k", TOP_K_SQL)
+def top_k_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
