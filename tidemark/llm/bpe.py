@@ -4,7 +4,7 @@ Texts are cut into pre-tokens. A bundle is a run of texts of one input partition
 each distinct word it holds by a local number and keeps its texts as numbers in order of
 position. The words of all bundles are dealt out by word, so every distinct word is
 encoded in one place, and the ids travel back to the bundles, where texts are put together
-by position. Frequent words therefore move once a bundle, not once an occurrence. Decoding
+by position. Words therefore move once a bundle, not once an occurrence, and packed. Decoding
 joins the ids with the table of token bytes.
 
 A null text is the empty text and has no ids. A text larger than a bundle is a bundle of
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark.llm.common import prepared, utf8
 
 # Bytes of text after which a bundle is closed. Its words and numbers are in memory at once.
-BUNDLE_BYTES = 24 << 20
+BUNDLE_BYTES = 16 << 20
 _LONG = 64
 
 
@@ -99,58 +100,66 @@ def _encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-# White space other than blank and line end; a text that has any is matched as a whole.
-_RARE = frozenset(chr(c) for c in range(0x110000) if chr(c).isspace() and chr(c) not in " \n")
+# A text that holds any of these is matched as a whole: white space other than blank and
+# line end, and the mark that pieces are cut at.
+_RARE = frozenset(chr(c) for c in range(0x110000) if chr(c).isspace() and chr(c) not in " \n") | {"\0"}
+_LEADS = np.zeros(256, bool)  # bytes with which their UTF-8 forms begin
+_LEADS[sorted({c.encode()[0] for c in _RARE})] = True
+
 
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places start, start + 1, ... of each run, one run after the other."""
+    first = np.cumsum(counts) - counts
+    return np.arange(int(counts.sum())) + np.repeat(starts - first, counts)
 
-class Splitter:
-    """Pre-tokens of texts by a pattern, as numbers local to a bundle.
+
+class Words:
+    """Pre-tokens of the texts of a bundle: the distinct ones, and each text as their numbers.
 
     Under the patterns meant here a match may take one blank before it and otherwise never
     crosses from white space into text. So a text whose blanks all stand alone between
-    other characters can be cut before each of them, and the pieces, most of them seen
-    before, looked up. Any other text is matched as a whole.
+    other characters can be cut before each of them, and only distinct pieces are matched.
+    Any other text is one piece.
     """
 
-    def __init__(self, pattern: str):
-        self.find = regex.compile(pattern).findall
-        self.numbers: dict[str, int] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-
-    def _numbered(self, piece: str) -> tuple[int, ...]:
-        numbers = self.numbers
-        return tuple([numbers.setdefault(word, len(numbers)) for word in self.find(piece)])
-
-    def split(self, text: str, rare: bool) -> list[int]:
-        """``rare`` says that the text may hold other white space than blanks and line ends."""
-        loose = text[:1] == " " or text[-1:] == " " or "  " in text or " \n" in text or "\n " in text
-        if loose or rare and not _RARE.isdisjoint(text):
-            return list(self._numbered(text))
-        first, *rest = text.split(" ")
-        out, known = list(self._numbered(first)), self.pieces
-        for piece in rest:
-            found = known.get(piece)
-            if found is None:
-                found = known[piece] = self._numbered(" " + piece)
-            out += found
-        return out
-
-
-# Bytes with which white space begins in UTF-8, without blank and line end.
-_LEADS = np.zeros(256, bool)
-_LEADS[sorted({c.encode()[0] for c in _RARE})] = True
-
-
-def _may_be_rare(column: pa.Array) -> np.ndarray:
-    data, offsets = utf8(column)
-    found = np.zeros(len(column), bool)
-    found[np.searchsorted(offsets, np.flatnonzero(_LEADS[data]), side="right") - 1] = True
-    return found
-
-
-def _packed(numbers: list[int]) -> bytes:
+    def __init__(self, texts: pa.Array, pattern: str):
+        texts = texts.cast(pa.large_string()).fill_null("")
+        data, offsets = utf8(texts)
+        whole = np.zeros(len(texts), bool)
+        whole[np.searchsorted(offsets, np.flatnonzero(_LEADS[data]), side="right") - 1] = True
+        for loose in ("  ", " \n", "\n "):
+            whole |= pc.match_substring(texts, loose).to_numpy(zero_copy_only=False)
+        whole |= pc.starts_with(texts, " ").to_numpy(zero_copy_only=False) | pc.ends_with(texts, " ").to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(pc.replace_substring(texts.filter(pa.array(~whole)), " ", "\0 "), "\0")
+        pieces = pa.chunked_array([cut.flatten(), texts.filter(pa.array(whole))]).combine_chunks().dictionary_encode()
+        codes = pieces.indices.to_numpy()
+        sizes = np.ones(len(texts), np.int64)
+        sizes[~whole] = pc.list_value_length(cut).to_numpy()
+
+        find, numbers, made, counts = regex.compile(pattern).findall, {}, [], []
+        for piece in pieces.dictionary.to_pylist():
+            found = find(piece)
+            counts.append(len(found))
+            made += [numbers.setdefault(word, len(numbers)) for word in found]
+        self.words = list(numbers)
+        counts = np.array(counts, np.int64)
+        flat = np.array(made, np.int32)
+        order = np.concatenate([np.flatnonzero(~whole), np.flatnonzero(whole)])
+        first = np.zeros(len(texts), np.int64)
+        first[order] = np.cumsum(sizes[order]) - sizes[order]
+        codes = codes[_spread(first, sizes)]  # pieces of all texts in order
+        self.numbers = flat[_spread((np.cumsum(counts) - counts)[codes], counts[codes])]
+        self.ends = np.concatenate([[0], np.cumsum(counts[codes])])[np.cumsum(sizes)]
+
+    def packed(self, first: int, stop: int) -> list[bytes]:
+        """Texts ``first`` to ``stop`` as packed numbers."""
+        edges = [0, *self.ends.tolist()][first : stop + 1]
+        return [_packed(self.numbers[a:b]) for a, b in zip(edges, edges[1:])]
+
+
+def _packed(numbers: np.ndarray) -> bytes:
     """Numbers as planes of bytes, compressed: the high planes are nearly all zero."""
-    planes = np.array(numbers, "<i4").view(np.uint8).reshape(-1, 4).T
+    planes = np.ascontiguousarray(numbers, "<i4").view(np.uint8).reshape(-1, 4).T
     return zstandard.compress(planes.tobytes(), 1)
 
 
@@ -159,110 +168,103 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
-_BUNDLED = "bundle long, seal long, doc_id long, packed binary, number int, word binary"
+_BUNDLED = "bundle long, seal long, doc_id long, part int, packed binary, sizes binary, words binary"
 
 
-def _bundles(pattern: str, limit: int):
-    """Two kinds of rows: a text as packed numbers, and a word with its number.
+def _bundles(pattern: str, limit: int, parts: int):
+    """Two kinds of rows: a text as packed numbers of words, and words of one hash part.
 
-    ``seal`` is a checksum of the words of a bundle in order. Texts and words are read in
-    two passes over the input; should its partitions differ between them, seals do too,
-    and the texts then lack their words, which is an error and never a wrong id.
+    Words are dealt into parts by their checksum; a row has the words that a bundle holds
+    of a part: their numbers, lengths and bytes. ``seal`` is a checksum of all words of a
+    bundle in order. Texts and words are read in two passes over the input; should its
+    partitions differ between them, seals do too, and the texts then lack their words,
+    which is an error and never a wrong id.
     """
 
-    def rows(bundle: tuple[int, int], ids: list, packed: list, numbers: list, words: list, step: int = 20_000) -> Iterator[pa.RecordBatch]:
-        total = len(ids) + len(words)
-        columns = [
-            pa.array(np.full(total, bundle[0])),
-            pa.array(np.full(total, bundle[1])),
-            pa.array(ids + [None] * len(words), pa.int64()),
-            pa.array(packed + [None] * len(words), pa.binary()),
-            pa.array([None] * len(ids) + numbers, pa.int32()),
-            pa.array([None] * len(ids) + words, pa.binary()),
-        ]
-        whole = pa.record_batch(columns, ["bundle", "seal", "doc_id", "packed", "number", "word"])
-        for at in range(0, total, step):
-            yield whole.slice(at, step)
+    def row_batch(n: int, bundle: tuple[int, int], **columns: pa.Array) -> pa.RecordBatch:
+        kinds = {"doc_id": pa.int64(), "part": pa.int32(), "packed": pa.binary(), "sizes": pa.binary(), "words": pa.binary()}
+        keys = [pa.array(np.full(n, k, np.int64)) for k in bundle]
+        rest = [columns.get(c, pa.nulls(n, kind)) for c, kind in kinds.items()]
+        return pa.record_batch([*keys, *rest], ["bundle", "seal", *kinds])
+
+    def closed(number: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = pa.chunked_array([b["doc_id"] for b in held]).combine_chunks().cast(pa.int64())
+        found = Words(pa.chunked_array([b["text"] for b in held]).combine_chunks(), pattern)
+        words = [w.encode() for w in found.words]
+        bundle = (number, zlib.crc32(b"\n".join(words)))
+        for at in range(0, len(ids), 1000):
+            part = ids.slice(at, 1000)
+            yield row_batch(len(part), bundle, doc_id=part, packed=pa.array(found.packed(at, at + 1000), pa.binary()))
+        deal = np.array([zlib.crc32(w) % parts for w in words], np.int64)
+        order = np.argsort(deal, kind="stable")
+        rows = np.split(order, np.flatnonzero(np.diff(deal[order])) + 1) if len(words) else []
+        for at in range(0, len(rows), 1000):
+            some = rows[at : at + 1000]
+            chosen = [[words[i] for i in r.tolist()] for r in some]
+            yield row_batch(
+                len(some),
+                bundle,
+                part=pa.array([int(deal[r[0]]) for r in some], pa.int32()),
+                packed=pa.array([_packed(r) for r in some], pa.binary()),
+                sizes=pa.array([_packed(np.array([len(w) for w in c])) for c in chosen], pa.binary()),
+                words=pa.array([zstandard.compress(b"".join(c), 1) for c in chosen], pa.binary()),
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, count, size, splitter, ids, packed = TaskContext.get().partitionId(), 0, 0, Splitter(pattern), [], []
-
-        def closed() -> Iterator[pa.RecordBatch]:
-            words = [w.encode() for w in splitter.numbers]
-            bundle = ((part << 24) + count, zlib.crc32(b"\n".join(words)))
-            yield from rows(bundle, ids, packed, list(range(len(words))), words)
-
+        number, size, held = TaskContext.get().partitionId() << 24, 0, []
         for batch in batches:
-            for doc_id, text, rare in zip(batch["doc_id"].to_pylist(), batch["text"], _may_be_rare(batch["text"])):
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
+                held.append(part)
+                size += int(utf8(part["text"])[1][-1])
                 if size >= limit:
-                    yield from closed()
-                    splitter, ids, packed, count, size = Splitter(pattern), [], [], count + 1, 0
-                content = text.as_py() or ""
-                ids.append(doc_id)
-                packed.append(_packed(splitter.split(content, rare)))
-                size += len(content)
-        if ids:
-            yield from closed()
+                    yield from closed(number, held)
+                    number, size, held = number + 1, 0, []
+        if held:
+            yield from closed(number, held)
 
     return run
 
 
-def _encoded(ranks, flush: int = 200_000):
-    """Ids of words; one row for each bundle and flush: numbers, id counts, ids."""
+def _encoded(ranks):
+    """Ids of the words of a part; a word that several bundles hold is encoded once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks.value
-        known: dict[bytes, list[int]] = {}  # the words of this partition, each encoded once
-
-        def emptied(rows: list[tuple]) -> pa.RecordBatch:
-            keys = sorted({r[:2] for r in rows})
-            held: dict[tuple, tuple[list, list, list]] = {k: ([], [], []) for k in keys}
-            for bundle, seal, number, ids in rows:
-                numbers, counts, all_ids = held[bundle, seal]
-                numbers.append(number)
-                counts.append(len(ids))
-                all_ids += ids
-            packed = [[np.array(held[k][i], "<i4").tobytes() for k in keys] for i in range(3)]
-            return pa.record_batch(
-                [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), *[pa.array(p, pa.binary()) for p in packed]],
-                ["bundle", "seal", "numbers", "counts", "ids"],
-            )
-
-        rows: list[tuple] = []
+        known: dict[bytes, list[int]] = {}
         for batch in batches:
-            for bundle, seal, number, word in zip(*[batch[c].to_pylist() for c in ("bundle", "seal", "number", "word")]):
-                ids = known.get(word)
-                if ids is None:
-                    ids = known[word] = encode_word(word, table)
-                rows.append((bundle, seal, number, ids))
-            if len(rows) >= flush:
-                yield emptied(rows)
-                rows = []
-            if len(known) > 1_000_000:  # bounds memory; a word may then be encoded again
-                known.clear()
-        if rows:
-            yield emptied(rows)
+            counts, ids = [], []
+            for sizes, words in zip(batch["sizes"], batch["words"]):
+                ends = np.cumsum(_unpacked(sizes.as_py())).tolist()
+                content, made = zstandard.decompress(words.as_py()), []
+                for a, b in zip([0, *ends], ends):
+                    word = content[a:b]
+                    found = known.get(word)
+                    if found is None:
+                        found = known[word] = encode_word(word, table)
+                    made.append(found)
+                counts.append(_packed(np.array([len(m) for m in made])))
+                ids.append(_packed(np.array([i for m in made for i in m])))
+                if len(known) > 500_000:  # bounds memory; a word may then be encoded again
+                    known.clear()
+            columns = [batch["bundle"], batch["seal"], batch["packed"], pa.array(counts, pa.binary()), pa.array(ids, pa.binary())]
+            yield pa.record_batch(columns, ["bundle", "seal", "numbers", "counts", "ids"])
 
     return run
 
 
 def _reassembled(texts: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
     """Texts of one bundle with their ids, in order of position."""
-    numbers = np.concatenate([np.frombuffer(x, "<i4") for x in words["numbers"]] or [np.empty(0, np.int32)])
-    counts = np.concatenate([np.frombuffer(x, "<i4") for x in words["counts"]] or [np.empty(0, np.int32)])
-    ids = np.concatenate([np.frombuffer(x, "<i4") for x in words["ids"]] or [np.empty(0, np.int32)])
-    starts = np.zeros(len(numbers), np.int64)
-    sizes = np.zeros(len(numbers), np.int64)
+    none = [np.empty(0, np.int32)]
+    numbers, counts, ids = (np.concatenate([*map(_unpacked, words[c])] or none) for c in ("numbers", "counts", "ids"))
+    starts, sizes = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
     starts[numbers], sizes[numbers] = np.cumsum(counts, dtype=np.int64) - counts, counts
     out = []
     for packed in texts["packed"]:
         row = _unpacked(packed)
-        if len(row) and (not len(sizes) or row.max() >= len(sizes) or not sizes[row].all()):
+        if len(row) and (row.max() >= len(sizes) or not sizes[row].all()):
             raise RuntimeError("words of a bundle are missing: the input's rows came in other partitions when read again")
-        size = sizes[row] if len(row) else np.empty(0, np.int64)
-        first = np.cumsum(size) - size
-        place = np.arange(int(size.sum())) - np.repeat(first, size) + np.repeat(starts[row] if len(row) else size, size)
-        out.append(ids[place])
+        out.append(ids[_spread(starts[row], sizes[row])])
     return pd.DataFrame({"doc_id": texts["doc_id"].astype("Int64"), "ids": out})
 
 
@@ -274,13 +276,12 @@ def encode(docs: DataFrame, path: str, pattern: str, bundle_bytes: int = BUNDLE_
     """
     spark = prepared(docs.sparkSession)
     ranks = spark.sparkContext.broadcast(read_ranks(spark, path))  # the vocabulary has a fixed size
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_bundles(pattern, bundle_bytes), _BUNDLED)
-    words = rows.where("word is not null").select("bundle", "seal", "number", "word")
-    encoded = words.repartition("word").mapInArrow(_encoded(ranks), "bundle long, seal long, numbers binary, counts binary, ids binary")
-    texts = rows.where("word is null").select("bundle", "seal", "doc_id", "packed")
-    return (
-        texts.groupBy("bundle", "seal").cogroup(encoded.groupBy("bundle", "seal")).applyInPandas(_reassembled, "doc_id long, ids array<int>")
-    )
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # several to a partition even out its load
+    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_bundles(pattern, bundle_bytes, parts), _BUNDLED)
+    words = rows.where("part is not null").select("bundle", "seal", "part", "packed", "sizes", "words")
+    encoded = words.repartition("part").mapInArrow(_encoded(ranks), "bundle long, seal long, numbers binary, counts binary, ids binary")
+    texts = rows.where("part is null").select("bundle", "seal", "doc_id", "packed")
+    return texts.groupBy("bundle", "seal").cogroup(encoded.groupBy("bundle", "seal")).applyInPandas(_reassembled, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, column: str = "ids") -> DataFrame:

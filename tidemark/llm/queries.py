@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, langid, secrets, simhash, suffix_dedup, topk, toxicity
+from tidemark.llm import bpe, decontaminate, langid, secrets, simhash, suffix_dedup, topk, toxicity, url_filter
 from tidemark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,63 @@ select query_id, cast(place as int) as rank, vec_id, score from ranked where pla
 @query("op5_top_k", TOP_K_SQL)
 def top_k_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
+
+
+URL_SQL = r"""
+with parsed as (
+  select page_id, date '2024-01-01' + cast(page_id * 7919 % 730 as int) as day,
+         nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '\.+$', ''), '') as host,
+         regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1), '/+', '/', 'g'), '^/|/$', '', 'g') as path
+  from pages),
+hosts as (select distinct host from parsed where host is not null),
+seeds as (
+  select host, cast('0x' || substr(md5(host), 1, 4) as int) as a, cast('0x' || substr(md5(host), 5, 4) as int) as b from hosts
+  union all
+  select distinct host || '/' || split_part(path, '/', 1), cast('0x' || substr(md5(host || '/' || split_part(path, '/', 1)), 1, 4) as int),
+         cast('0x' || substr(md5(host || '/' || split_part(path, '/', 1)), 5, 4) as int) from parsed where host is not null and path <> ''),
+spans as (
+  select host as value, ['spam', 'adult', 'malware'][1 + a % 3] as list, b % 4 = 0 as allow,
+         date '2024-01-01' + a % 600 as valid_from,
+         case when b % 3 = 0 then date '9999-12-31' else date '2024-01-01' + a % 600 + 1 + b % 200 end as valid_to
+  from seeds where a % 2 = 0 or host like '%/%'),
+labels as (select page_id, day, host, path, string_split(host, '.') as l, string_split(path, '/') as p from parsed),
+wanted as (
+  select page_id, day, array_to_string(l[unnest(range(1, len(l) + 1)):], '.') as value from labels where host is not null
+  union
+  select page_id, day, host || '/' || array_to_string(p[1:unnest(range(1, least(len(p), 8) + 1))], '/') from labels where host is not null and path <> ''),
+hits as (
+  select page_id, w.value, list, allow, length(w.value) as size,
+         max(case when allow then length(w.value) end) over (partition by page_id) as allowed
+  from wanted w join spans s on w.value = s.value and day >= valid_from and day < valid_to),
+kept as (select * from hits where not allow and size > coalesce(allowed, -1)),
+judged as (
+  select page_id, string_agg(distinct list, ',' order by list) as lists, first(value order by size desc, value) as value from kept group by page_id)
+select page_id, value is not null as blocked, coalesce(lists, '') as lists, value from pages left join judged using (page_id)
+"""
+
+
+@query("op3_url_filter", URL_SQL)
+def url_filter_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures are the pages, fetched on a day that follows from the id. The list holds
+    every other host and every first path part under a host, added and mostly removed
+    again on days that follow from its hash; a quarter of it allows."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    start = F.to_date(F.lit("2024-01-01"))
+    captures = pages.withColumn("fetched", F.date_add(start, (F.col("page_id") * 7919 % 730).cast("int")))
+    host, path = url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))
+    part = F.when(F.length(path) > 0, F.concat_ws("/", host, F.substring_index(path, "/", 1)))
+    seeds = pages.select(F.explode(F.array(host, part)).alias("value")).where("value is not null").distinct()
+    number = lambda at: F.conv(F.substring(F.md5("value"), at, 4), 16, 10).cast("int")
+    seeds = seeds.select("value", number(1).alias("a"), number(5).alias("b")).where("a % 2 = 0 or contains(value, '/')")
+    events = F.array(
+        F.struct(F.lit(0).alias("after"), F.lit(True).alias("added")), F.struct((1 + F.col("b") % 200).alias("after"), F.lit(False).alias("added"))
+    )
+    some = F.when(F.col("b") % 3 == 0, F.slice(events, 1, 1)).otherwise(events)
+    entries = seeds.select(
+        "value",
+        F.element_at(F.array(F.lit("spam"), F.lit("adult"), F.lit("malware")), 1 + F.col("a") % 3).alias("list"),
+        (F.col("b") % 4 == 0).alias("allow"),
+        F.col("a"),
+        F.explode(some).alias("event"),
+    ).select("value", "list", "allow", F.date_add(start, F.col("a") % 600 + F.col("event.after")).alias("day"), "event.added")
+    return url_filter.judge(captures, entries)
