@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -46,3 +47,61 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.uint8), np.zeros(len(binary) + 1, np.int64)
     whole = np.frombuffer(data, np.uint8)
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def packed(values: np.ndarray, kind: str = "<i4") -> bytes:
+    """Numbers as planes of bytes, compressed: high planes are mostly zero."""
+    planes = np.ascontiguousarray(values, kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def unpacked(data: bytes, kind: str = "<i4") -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_TURN = np.uint64(0x9E3779B97F4A7C15)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit values that spreads every bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of all texts, and the place of each text's first word, the end appended.
+
+    ``fold`` maps bytes before hashing and ``inside`` says by byte whether it is part of a
+    word. A word ends with its text. Hashes take eight bytes at a time; few words need a
+    second turn.
+    """
+    folded, within = fold[data], inside[data]
+    opens, closes = within.copy(), within.copy()
+    opens[1:] &= ~within[:-1]
+    closes[:-1] &= ~within[1:]
+    cuts = offsets[1:-1]
+    cuts = cuts[(cuts > 0) & (cuts < len(data))]
+    opens[cuts] = within[cuts]
+    closes[cuts - 1] = within[cuts - 1]
+    starts = np.flatnonzero(opens)
+    left = np.flatnonzero(closes) + 1 - starts
+    text = np.concatenate([folded, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(folded) + 1,), "<u8", text, strides=(1,))
+    out, some, at = left.astype(np.uint64), np.arange(len(starts)), starts
+    while len(some):
+        out[some] = mixed(out[some] * _TURN + (eight[at] & _LOW_BYTES[np.minimum(left, 8)]))
+        more = left > 8
+        some, at, left = some[more], at[more] + 8, left[more] - 8
+    return out, np.searchsorted(starts, offsets)
+
+
+def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from each word on, wherever texts end."""
+    count = max(0, len(words) - size + 1)
+    out = np.zeros(count, np.uint64)
+    for k in range(size):
+        out = out * _TURN + words[k : k + count]
+    return mixed(out)

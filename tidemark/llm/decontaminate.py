@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import prepared, utf8
+from tidemark.llm.common import gram_hashes, prepared, utf8, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -37,56 +37,15 @@ _BLOCKS = 8
 # Items are taken to the executors in groups of at most so many characters.
 GROUP_CHARS = 32 << 20
 _FOLD = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 0 for b in range(256)], np.uint8)
-_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
-_TURN = np.uint64(0x9E3779B97F4A7C15)
 _FILTER_BITS = 22
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, and the place of each text's first word (with the end appended).
-
-    Texts are apart: a word ends with its text.
-    """
-    folded = _FOLD[data]
-    inside = folded != 0
-    opens, closes = inside.copy(), inside.copy()
-    opens[1:] &= ~inside[:-1]
-    closes[:-1] &= ~inside[1:]
-    cuts = offsets[1:-1]
-    cuts = cuts[(cuts > 0) & (cuts < len(folded))]
-    opens[cuts] = inside[cuts]
-    closes[cuts - 1] = inside[cuts - 1]
-    starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    return _word_hashes(folded, starts, ends - starts), np.searchsorted(starts, offsets)
-
-
-def _word_hashes(folded: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Hashes of byte runs, eight bytes at a time; few words need a second or third turn."""
-    padded = np.concatenate([folded, np.zeros(8, np.uint8)])
-    eight = np.ndarray((len(folded) + 1,), "<u8", padded, strides=(1,))
-    out = lengths.astype(np.uint64)
-    some, at = np.arange(len(starts)), starts
-    left = lengths
-    while len(some):
-        out[some] = _mixed(out[some] * _TURN + (eight[at] & _LOW_BYTES[np.minimum(left, 8)]))
-        more = left > 8
-        some, at, left = some[more], at[more] + 8, left[more] - 8
-    return out
+    return word_hashes(data, offsets, _FOLD, _FOLD != 0)
 
 
 def shingles(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
-    """Hash of the ``size`` words from each word on, wherever they end."""
-    count = max(0, len(hashes) - size + 1)
-    out = np.zeros(count, np.uint64)
-    for k in range(size):
-        out = out * _TURN + hashes[k : k + count]
-    return _mixed(out)
+    return gram_hashes(hashes, size)
 
 
 def _signs(values: np.ndarray) -> np.ndarray:

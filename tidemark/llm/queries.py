@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, langid, secrets, simhash, suffix_dedup, topk, toxicity, url_filter
+from tidemark.llm import bpe, decontaminate, langid, lm, secrets, simhash, suffix_dedup, topk, toxicity, url_filter
 from tidemark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,7 +105,7 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _token_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = [row.as_py() for row in batch["ids"]]
+        ids = list(bpe.id_lists(batch["ids"]))
         columns = [
             batch["doc_id"],
             pa.array([len(row) for row in ids], pa.int64()),
@@ -204,3 +204,33 @@ def url_filter_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(some).alias("event"),
     ).select("value", "list", "allow", F.date_add(start, F.col("a") % 600 + F.col("event.after")).alias("day"), "event.added")
     return url_filter.judge(captures, entries)
+
+
+LM_SQL = """
+with texts as (
+  select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+split as (select doc_id, [w for w in regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+') if w <> ''] as w from texts),
+words as (select doc_id, unnest(range(1, len(w) + 1)) as i, unnest(w) as c from split),
+grams as (
+  select doc_id, i, c, lag(c, 1) over (partition by doc_id order by i) as b, lag(c, 2) over (partition by doc_id order by i) as a from words),
+one as (select c, count(*) as n from grams group by c),
+two as (select b, c, count(*) as n from grams where b is not null group by b, c),
+three as (select a, b, c, count(*) as n from grams where a is not null group by a, b, c),
+scored as (
+  select g.doc_id, case
+      when g.a is not null and three.n >= 2 then ln(three.n / ab.n)
+      when g.b is not null and two.n >= 2 then case when g.a is null then 0 else ln(0.4) end + ln(two.n / b1.n)
+      else case when g.a is not null then 2 * ln(0.4) when g.b is not null then ln(0.4) else 0 end + ln(one.n / (select count(*) from grams))
+    end as s
+  from grams g join one on g.c = one.c
+  left join two on g.b = two.b and g.c = two.c left join three on g.a = three.a and g.b = three.b and g.c = three.c
+  left join two ab on g.a = ab.b and g.b = ab.c left join one b1 on g.b = b1.c),
+summed as (select doc_id, count(*) as n_words, avg(s) as score from scored group by doc_id)
+select doc_id, coalesce(n_words, 0) as n_words, round(score, 6) as score from documents left join summed using (doc_id)
+"""
+
+
+@query("op10_lm_score", LM_SQL)
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm.scores(table(spark, sf_dir, "documents"), order=3, alpha=0.4, least=2)
+    return found.withColumn("score", F.round("score", 6))
