@@ -69,10 +69,14 @@ def _gate(codes: np.ndarray, h: np.ndarray, table: np.ndarray, turn: np.ndarray)
 
 
 def _run(net: Network, way: int, steps: np.ndarray, keep: list | None = None) -> np.ndarray:
-    """Hidden states (steps, batch, H) of one direction over byte codes (steps, batch)."""
+    """Hidden states (steps, batch, H) of one direction over byte codes (steps, batch).
+
+    Padding has the state zero, so what a window gives does not depend on how far it is padded.
+    """
     tables, turns, bias = net.inputs[way], net.states[way], net.bias[way]
     h = np.zeros((steps.shape[1], len(bias)), np.float32)
     out = np.empty((len(steps), *h.shape), np.float32)
+    padded = (steps == PAD).any(axis=1)
     for t, codes in enumerate(steps):
         z, r = _gate(codes, h, tables[0], turns[0]), _gate(codes, h, tables[1], turns[1])
         inner = h @ turns[2]
@@ -85,6 +89,8 @@ def _run(net: Network, way: int, steps: np.ndarray, keep: list | None = None) ->
         change = h - n
         change *= z
         h = np.add(n, change, out=out[t])
+        if padded[t]:
+            h[codes == PAD] = 0
     return out
 
 
@@ -116,7 +122,7 @@ def _gradients(net: Network, codes: np.ndarray, target: np.ndarray, real: np.nda
         carried, at, moved = np.zeros_like(d_hidden[0]), [], []
         for t in range(len(codes) - 1, -1, -1):
             step, h, z, r, n, inner = kept[way][t]
-            d = d_hidden[t] + carried
+            d = (d_hidden[t] + carried) * (step != PAD)[:, None]
             d_n = d * (1 - z) * (1 - np.abs(n)) ** 2
             d_z = d * (h - n) * 0.25 * ((z > 0) & (z < 1))
             d_r = d_n * inner * 0.25 * ((r > 0) & (r < 1))
@@ -151,7 +157,7 @@ def _codes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[n
     place = np.arange(int(lengths.max()))[:, None]
     real = place < lengths
     at = np.minimum(starts + place, len(data) - 1)
-    return np.where(real, data[at], PAD), real
+    return np.where(real, data[at].astype(np.int64), PAD), real
 
 
 def fit(texts: list[bytes], labels: list[str], hidden: int = 8, rounds: int = 400, batch: int = 192, rate: float = 0.03, seed: int = 5) -> Network:
