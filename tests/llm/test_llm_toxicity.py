@@ -1,0 +1,77 @@
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from tidemark.llm import toxicity
+from tidemark.llm.common import held_out, table
+
+SF = "/root/testdata/sf0.1"
+
+
+def plain_bag(text):
+    """N-grams of the words with a blank on either side, spelled out."""
+    folded = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in f" {text or ''} ".encode())
+    found = []
+    for size in toxicity.SIZES:
+        for i in range(len(folded) - size + 1):
+            gram = folded[i : i + size]
+            if 32 not in gram[1:-1]:
+                found.append(gram)
+    return found
+
+
+def test_grams_are_those_of_words():
+    for text in ["", None, "a", "Hello, wörld! ab", "x" * 40, "one  two\nthree", "né"]:
+        buckets, shares = toxicity.bag(text)
+        grams = plain_bag(text)
+        assert abs(shares.sum() - (1 if grams else 0)) < 1e-5 and len(buckets) <= len(set(grams))
+        alone = {}
+        for gram in set(grams):
+            alone.setdefault(gram, grams.count(gram))
+        if grams and len(buckets) == len(alone):  # no two n-grams share a bucket
+            assert sorted(np.round(shares * len(grams)).astype(int)) == sorted(alone.values())
+
+
+def test_scores_do_not_depend_on_neighbours():
+    rng = np.random.default_rng(0)
+    model = toxicity.Model(rng.standard_normal(1 << toxicity.BUCKET_BITS).astype(np.float32), -0.1)
+    texts = ["first text", None, "", "second one here", "third " * 500, "!"]
+    together = toxicity.scores(model, pa.array(texts, pa.string()))
+    alone = [toxicity.scores(model, pa.array([t], pa.string()))[0] for t in texts]
+    assert np.allclose(together, alone, atol=1e-9)
+    by_hand = [1 / (1 + np.exp(-(np.dot(s.astype(float), model.gain[b].astype(float)) + model.bias))) for b, s in map(toxicity.bag, texts)]
+    assert np.allclose(together, by_hand, atol=1e-4)
+
+
+def test_held_out_quality_and_unseen_spellings(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    model = toxicity.train(docs, labels)
+    scored = toxicity.score_documents(docs, model).join(labels, "doc_id").where(held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).toPandas()
+    toxic, clean = scored[scored.toxic == 1].score, scored[scored.toxic == 0].score
+    assert len(toxic) > 30 and (toxic.to_numpy()[:, None] > clean.to_numpy()).mean() > 0.95
+    assert (toxic >= 0.5).mean() > 0.75 and (clean >= 0.5).mean() < 0.1
+    plain, bent = toxicity.scores(model, pa.array(["the and of to in that", "the worthlesss and moronic of idiott"]))
+    assert bent > 0.5 > plain
+
+
+def test_held_out_labels_do_not_count(spark, make_docs):
+    docs = make_docs([(k, f"text number {k} " + ("bad" if k % 2 else "fine") * 3) for k in range(60)])
+    rows = [(k, k % 2, 0) for k in range(60)]
+    labels = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, toxic int, quality int, key int")
+    turned = labels.withColumn("toxic", F.when(held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    one, other = toxicity.train(docs, labels, epochs=2), toxicity.train(docs, turned, epochs=2)
+    assert np.array_equal(one.gain, other.gain) and one.bias == other.bias
+
+
+def test_odd_rows(spark, make_docs, odd_rows):
+    docs = make_docs(odd_rows)
+    labels = spark.createDataFrame([(4, 1), (4, 0), (6, 0), (None, 1), (9, None), (5, 0), (77, 1)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, epochs=1)
+    got = toxicity.score_documents(docs, model).collect()
+    assert len(got) == len(odd_rows) and all(0 <= r.score <= 1 for r in got)
+    blank = {r.score for r in got if r.doc_id in (1, 2, 3)}
+    assert len(blank) == 1
+    assert toxicity.train(docs, labels.where("toxic = 0")) is None
+    assert {r.score for r in toxicity.score_documents(docs, None).collect()} == {0.0}
+    empty = docs.limit(0)
+    assert toxicity.train(empty, labels) is None and toxicity.score_documents(empty, model).count() == 0
