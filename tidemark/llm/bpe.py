@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import heapq
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +29,10 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.llm.common import prepared, utf8
+from tidemark.llm.common import packed, prepared, unpacked, utf8
 
 # Bytes of text after which a bundle is closed. Its words and numbers are in memory at once.
-BUNDLE_BYTES = 16 << 20
+BUNDLE_BYTES = 8 << 20
 _LONG = 64
 
 
@@ -119,7 +120,8 @@ class Words:
     Under the patterns meant here a match may take one blank before it and otherwise never
     crosses from white space into text. So a text whose blanks all stand alone between
     other characters can be cut before each of them, and only distinct pieces are matched.
-    Any other text is one piece.
+    A run of letters, with one blank before it or none, is one match. Any other text is
+    one piece.
     """
 
     def __init__(self, texts: pa.Array, pattern: str):
@@ -136,43 +138,36 @@ class Words:
         sizes = np.ones(len(texts), np.int64)
         sizes[~whole] = pc.list_value_length(cut).to_numpy()
 
-        find, numbers, made, counts = regex.compile(pattern).findall, {}, [], []
-        for piece in pieces.dictionary.to_pylist():
+        find, numbers, made, counts = regex.compile(pattern).findall, {}, array("i"), array("i")
+        for piece in pieces.dictionary.to_numpy(zero_copy_only=False):
+            if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
+                counts.append(1)
+                made.append(numbers.setdefault(piece, len(numbers)))
+                continue
             found = find(piece)
             counts.append(len(found))
-            made += [numbers.setdefault(word, len(numbers)) for word in found]
+            made.extend([numbers.setdefault(word, len(numbers)) for word in found])
         self.words = list(numbers)
-        counts = np.array(counts, np.int64)
-        flat = np.array(made, np.int32)
+        counts, flat = np.array(counts, np.int64), np.array(made, np.int32)
         order = np.concatenate([np.flatnonzero(~whole), np.flatnonzero(whole)])
         first = np.zeros(len(texts), np.int64)
         first[order] = np.cumsum(sizes[order]) - sizes[order]
         codes = codes[_spread(first, sizes)]  # pieces of all texts in order
+        del pieces, cut, data, made
         self.numbers = flat[_spread((np.cumsum(counts) - counts)[codes], counts[codes])]
         self.ends = np.concatenate([[0], np.cumsum(counts[codes])])[np.cumsum(sizes)]
 
     def packed(self, first: int, stop: int) -> list[bytes]:
         """Texts ``first`` to ``stop`` as packed numbers."""
         edges = [0, *self.ends.tolist()][first : stop + 1]
-        return [_packed(self.numbers[a:b]) for a, b in zip(edges, edges[1:])]
-
-
-def _packed(numbers: np.ndarray) -> bytes:
-    """Numbers as planes of bytes, compressed: the high planes are nearly all zero."""
-    planes = np.ascontiguousarray(numbers, "<i4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.compress(planes.tobytes(), 1)
-
-
-def _unpacked(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+        return [packed(self.numbers[a:b]) for a, b in zip(edges, edges[1:])]
 
 
 _BUNDLED = "bundle long, seal long, doc_id long, part int, packed binary, sizes binary, words binary"
 
 
-def _bundles(pattern: str, limit: int, parts: int):
-    """Two kinds of rows: a text as packed numbers of words, and words of one hash part.
+def _bundles(pattern: str, limit: int, parts: int, kind: str):
+    """Rows of a ``kind``: "texts" as packed numbers of words, or "words" of one hash part.
 
     Words are dealt into parts by their checksum; a row has the words that a bundle holds
     of a part: their numbers, lengths and bytes. ``seal`` is a checksum of all words of a
@@ -182,19 +177,21 @@ def _bundles(pattern: str, limit: int, parts: int):
     """
 
     def row_batch(n: int, bundle: tuple[int, int], **columns: pa.Array) -> pa.RecordBatch:
-        kinds = {"doc_id": pa.int64(), "part": pa.int32(), "packed": pa.binary(), "sizes": pa.binary(), "words": pa.binary()}
+        types = {"doc_id": pa.int64(), "part": pa.int32(), "packed": pa.binary(), "sizes": pa.binary(), "words": pa.binary()}
         keys = [pa.array(np.full(n, k, np.int64)) for k in bundle]
-        rest = [columns.get(c, pa.nulls(n, kind)) for c, kind in kinds.items()]
-        return pa.record_batch([*keys, *rest], ["bundle", "seal", *kinds])
+        rest = [columns.get(c, pa.nulls(n, kind)) for c, kind in types.items()]
+        return pa.record_batch([*keys, *rest], ["bundle", "seal", *types])
 
     def closed(number: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = pa.chunked_array([b["doc_id"] for b in held]).combine_chunks().cast(pa.int64())
         found = Words(pa.chunked_array([b["text"] for b in held]).combine_chunks(), pattern)
         words = [w.encode() for w in found.words]
         bundle = (number, zlib.crc32(b"\n".join(words)))
-        for at in range(0, len(ids), 1000):
-            part = ids.slice(at, 1000)
-            yield row_batch(len(part), bundle, doc_id=part, packed=pa.array(found.packed(at, at + 1000), pa.binary()))
+        if kind == "texts":
+            for at in range(0, len(ids), 1000):
+                part = ids.slice(at, 1000)
+                yield row_batch(len(part), bundle, doc_id=part, packed=pa.array(found.packed(at, at + 1000), pa.binary()))
+            return
         deal = np.array([zlib.crc32(w) % parts for w in words], np.int64)
         order = np.argsort(deal, kind="stable")
         rows = np.split(order, np.flatnonzero(np.diff(deal[order])) + 1) if len(words) else []
@@ -205,8 +202,8 @@ def _bundles(pattern: str, limit: int, parts: int):
                 len(some),
                 bundle,
                 part=pa.array([int(deal[r[0]]) for r in some], pa.int32()),
-                packed=pa.array([_packed(r) for r in some], pa.binary()),
-                sizes=pa.array([_packed(np.array([len(w) for w in c])) for c in chosen], pa.binary()),
+                packed=pa.array([packed(r) for r in some], pa.binary()),
+                sizes=pa.array([packed(np.array([len(w) for w in c])) for c in chosen], pa.binary()),
                 words=pa.array([zstandard.compress(b"".join(c), 1) for c in chosen], pa.binary()),
             )
 
@@ -231,21 +228,21 @@ def _encoded(ranks):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks.value
-        known: dict[bytes, list[int]] = {}
+        known: dict[bytes, bytes] = {}
         for batch in batches:
             counts, ids = [], []
             for sizes, words in zip(batch["sizes"], batch["words"]):
-                ends = np.cumsum(_unpacked(sizes.as_py())).tolist()
+                ends = np.cumsum(unpacked(sizes.as_py())).tolist()
                 content, made = zstandard.decompress(words.as_py()), []
                 for a, b in zip([0, *ends], ends):
                     word = content[a:b]
                     found = known.get(word)
                     if found is None:
-                        found = known[word] = encode_word(word, table)
+                        found = known[word] = np.array(encode_word(word, table), "<i4").tobytes()
                     made.append(found)
-                counts.append(_packed(np.array([len(m) for m in made])))
-                ids.append(_packed(np.array([i for m in made for i in m])))
-                if len(known) > 500_000:  # bounds memory; a word may then be encoded again
+                counts.append(packed(np.array([len(m) // 4 for m in made])))
+                ids.append(packed(np.frombuffer(b"".join(made), "<i4")))
+                if len(known) > 200_000:  # bounds memory; a word may then be encoded again
                     known.clear()
             columns = [batch["bundle"], batch["seal"], batch["packed"], pa.array(counts, pa.binary()), pa.array(ids, pa.binary())]
             yield pa.record_batch(columns, ["bundle", "seal", "numbers", "counts", "ids"])
@@ -256,12 +253,12 @@ def _encoded(ranks):
 def _reassembled(texts: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
     """Texts of one bundle with their ids, in order of position."""
     none = [np.empty(0, np.int32)]
-    numbers, counts, ids = (np.concatenate([*map(_unpacked, words[c])] or none) for c in ("numbers", "counts", "ids"))
+    numbers, counts, ids = (np.concatenate([*map(unpacked, words[c])] or none) for c in ("numbers", "counts", "ids"))
     starts, sizes = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
     starts[numbers], sizes[numbers] = np.cumsum(counts, dtype=np.int64) - counts, counts
     out = []
     for packed in texts["packed"]:
-        row = _unpacked(packed)
+        row = unpacked(packed)
         if len(row) and (row.max() >= len(sizes) or not sizes[row].all()):
             raise RuntimeError("words of a bundle are missing: the input's rows came in other partitions when read again")
         out.append(ids[_spread(starts[row], sizes[row])])
@@ -277,13 +274,20 @@ def encode(docs: DataFrame, path: str, pattern: str, bundle_bytes: int = BUNDLE_
     spark = prepared(docs.sparkSession)
     ranks = spark.sparkContext.broadcast(read_ranks(spark, path))  # the vocabulary has a fixed size
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # several to a partition even out its load
-    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_bundles(pattern, bundle_bytes, parts), _BUNDLED)
-    words = rows.where("part is not null").select("bundle", "seal", "part", "packed", "sizes", "words")
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    words = rows.mapInArrow(_bundles(pattern, bundle_bytes, parts, "words"), _BUNDLED).select("bundle", "seal", "part", "packed", "sizes", "words")
     encoded = words.repartition("part").mapInArrow(_encoded(ranks), "bundle long, seal long, numbers binary, counts binary, ids binary")
-    texts = rows.where("part is null").select("bundle", "seal", "doc_id", "packed")
+    texts = rows.mapInArrow(_bundles(pattern, bundle_bytes, parts, "texts"), _BUNDLED).select("bundle", "seal", "doc_id", "packed")
     return texts.groupBy("bundle", "seal").cogroup(encoded.groupBy("bundle", "seal")).applyInPandas(_reassembled, "doc_id long, ids array<int>")
 
 
+def id_lists(column: pa.ListArray) -> Iterator[list[int] | None]:
+    """The lists of a column; much faster than asking Arrow for each number."""
+    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    for place, known in enumerate(column.is_valid().to_pylist()):
+        yield values[ends[place] : ends[place + 1]].tolist() if known else None
+
+
 def decode(encoded: DataFrame, path: str, column: str = "ids") -> DataFrame:
     """``encoded`` with the column decoded: the bytes of its ids, joined with the token table.
 
@@ -296,7 +300,7 @@ def decode(encoded: DataFrame, path: str, column: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = tokens.value.__getitem__
         for batch in batches:
-            made = [None if ids.as_py() is None else b"".join(map(token, ids.as_py())) for ids in batch[column]]
+            made = [None if ids is None else b"".join(map(token, ids)) for ids in id_lists(batch[column])]
             yield pa.record_batch([*batch.columns, pa.array(made, pa.binary())], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, decontaminate, langid, lm, secrets, simhash, suffix_dedup, topk, toxicity, url_filter
@@ -99,20 +97,11 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, path).mapInArrow(_token_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
-
-
-def _token_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = list(bpe.id_lists(batch["ids"]))
-        columns = [
-            batch["doc_id"],
-            pa.array([len(row) for row in ids], pa.int64()),
-            pa.array([hashlib.sha256(",".join(map(str, row)).encode()).hexdigest() for row in ids]),
-            pa.array([hashlib.sha256(row.as_py()).hexdigest() for row in batch["decoded"]]),
-        ]
-        yield pa.record_batch(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
 
 
 @query("op9_decontamination")
