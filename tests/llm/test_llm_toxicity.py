@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -22,14 +24,11 @@ def plain_bag(text):
 
 def test_grams_are_those_of_words():
     for text in ["", None, "a", "Hello, wörld! ab", "x" * 40, "one  two\nthree", "né"]:
-        buckets, shares = toxicity.bag(text)
+        buckets, counts = toxicity.bag(text)
         grams = plain_bag(text)
-        assert abs(shares.sum() - (1 if grams else 0)) < 1e-5 and len(buckets) <= len(set(grams))
-        alone = {}
-        for gram in set(grams):
-            alone.setdefault(gram, grams.count(gram))
-        if grams and len(buckets) == len(alone):  # no two n-grams share a bucket
-            assert sorted(np.round(shares * len(grams)).astype(int)) == sorted(alone.values())
+        assert counts.sum() == len(grams) and len(buckets) <= len(set(grams))
+        if len(buckets) == len(set(grams)):  # no two n-grams share a bucket
+            assert sorted(counts) == sorted(Counter(grams).values())
 
 
 def test_scores_do_not_depend_on_neighbours():
@@ -39,7 +38,7 @@ def test_scores_do_not_depend_on_neighbours():
     together = toxicity.scores(model, pa.array(texts, pa.string()))
     alone = [toxicity.scores(model, pa.array([t], pa.string()))[0] for t in texts]
     assert np.allclose(together, alone, atol=1e-9)
-    by_hand = [1 / (1 + np.exp(-(np.dot(s.astype(float), model.gain[b].astype(float)) + model.bias))) for b, s in map(toxicity.bag, texts)]
+    by_hand = [1 / (1 + np.exp(-(np.dot(toxicity.shares(c).astype(float), model.gain[b].astype(float)) + model.bias))) for b, c in map(toxicity.bag, texts)]
     assert np.allclose(together, by_hand, atol=1e-4)
 
 
@@ -48,8 +47,9 @@ def test_held_out_quality_and_unseen_spellings(spark):
     model = toxicity.train(docs, labels)
     scored = toxicity.score_documents(docs, model).join(labels, "doc_id").where(held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).toPandas()
     toxic, clean = scored[scored.toxic == 1].score, scored[scored.toxic == 0].score
-    assert len(toxic) > 30 and (toxic.to_numpy()[:, None] > clean.to_numpy()).mean() > 0.95
-    assert (toxic >= 0.5).mean() > 0.75 and (clean >= 0.5).mean() < 0.1
+    # A tenth of the rows marked as toxic holds nothing that tells them apart.
+    assert len(toxic) > 30 and (toxic.to_numpy()[:, None] > clean.to_numpy()).mean() > 0.92
+    assert (toxic >= 0.5).mean() > 0.75 and (clean >= 0.5).mean() < 0.05
     plain, bent = toxicity.scores(model, pa.array(["the and of to in that", "the worthlesss and moronic of idiott"]))
     assert bent > 0.5 > plain
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.common import held_out, prepared, utf8
-from tidemark.llm.sampling import balanced_sample
+from tidemark.llm.sampling import bounded_sample
 
 UNKNOWN = "und"
 WINDOW = 64
@@ -206,7 +206,7 @@ def train(docs: DataFrame, per_language: int = 400, places: int = 4, **options)
     sample, a few hundred bytes times the bound, is all that the driver gets.
     """
     learn = docs.where("lang is not null and doc_id is not null and length(text) > 0").where(~held_out(F.col("doc_id")))
-    keys = balanced_sample(learn.select("doc_id", "lang", "text"), "lang", per_language)
+    keys = bounded_sample(learn.select("doc_id", "lang", "text"), "lang", per_language)
     room = F.greatest(F.lit(1), F.length("text") - F.lit(_CHARS // 2))
     spots = [F.substring(F.col("text"), (F.pmod(F.xxhash64("doc_id", F.lit(k)), room) + 1).cast("int"), F.lit(_CHARS)) for k in range(places)]
     rows = keys.select("doc_id", "lang", F.explode(F.array(*spots)).alias("part")).collect()

@@ -20,11 +20,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import held_out, prepared, utf8
-from tidemark.llm.sampling import balanced_sample
+from tidemark.llm.common import held_out, packed, prepared, unpacked, utf8
+from tidemark.llm.sampling import bounded_sample
 
 SIZES = (3, 4, 5, 6)
 BUCKET_BITS = 18
+# Neutral n-grams in every mean, so that a few words alone decide less than many do.
+NEUTRAL = 40
 _SPACE = 32
 # Word characters by byte: ASCII letters in lower case, digits, and all bytes of other
 # characters; anything else ends a word.
@@ -74,17 +76,22 @@ def scores(model: Model, column: pa.Array) -> np.ndarray:
         gains = np.pad(model.gain[bucket] * whole, (0, pad))
         total += _summed(gains, offsets)
         count += _summed(np.pad(whole, (0, pad)), offsets)
-    return 1 / (1 + np.exp(-np.clip(total / np.maximum(1, count) + model.bias, -60, 60)))
+    return 1 / (1 + np.exp(-np.clip(total / (count + NEUTRAL) + model.bias, -60, 60)))
 
 
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text and the share of its n-grams in each."""
+    """Buckets of a text and how many of its n-grams fall into each."""
     found = [bucket[whole] for bucket, whole, _ in grams(pa.array([text], pa.string()))]
     buckets, counts = np.unique(np.concatenate(found) if found else np.empty(0, np.uint32), return_counts=True)
-    return buckets.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)
+    return buckets.astype(np.int32), counts.astype(np.int32)
 
 
-def fit(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, width: int = 4, epochs: int = 12, batch: int = 48, rate: float = 0.5, scale: float = 30.0, seed: int = 3) -> Model:
+def shares(counts: np.ndarray) -> np.ndarray:
+    """The weight of each bucket in the mean of a text."""
+    return (counts / (counts.sum() + NEUTRAL)).astype(np.float32)
+
+
+def fit(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, width: int = 4, epochs: int = 10, batch: int = 48, rate: float = 0.5, scale: float = 30.0, seed: int = 3) -> Model:
     """Embeddings and softmax together, by Adagrad on shuffled batches.
 
     Means over hundreds of n-grams are small, so they enter the softmax times ``scale``.
@@ -94,20 +101,19 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, width: int
     vectors = (rng.standard_normal((width, size)) * 0.01).astype(np.float32)
     weights, bias = (rng.standard_normal((width, 2)) * 0.5).astype(np.float32), np.zeros(2, np.float32)
     seen = np.full((width, size), 1e-6, np.float32), np.full((width, 2), 1e-2, np.float32), np.full(2, 1e-2, np.float32)
-    prior = np.array([np.mean(toxic == 0), np.mean(toxic == 1)])
     for epoch in range(epochs):
         order = rng.permutation(len(bags))
         for at in range(0, len(order), batch):
             some = order[at : at + batch]
             index = np.concatenate([bags[i][0] for i in some])
-            share = np.concatenate([bags[i][1] for i in some]) * np.float32(scale)
+            share = np.concatenate([shares(bags[i][1]) for i in some]) * np.float32(scale)
             owner = np.repeat(np.arange(len(some)), [len(bags[i][0]) for i in some])
             mean = np.stack([np.bincount(owner, vectors[k][index] * share, len(some)) for k in range(width)], axis=1)
             logits = mean @ weights + bias
             error = np.exp(logits - logits.max(axis=1, keepdims=True))
             error /= error.sum(axis=1, keepdims=True)
             error[np.arange(len(some)), toxic[some]] -= 1
-            error /= (2 * prior[toxic[some]] * len(some))[:, None]
+            error /= len(some)
             d_mean = (error @ weights.T).astype(np.float32)
             used, place = np.unique(index, return_inverse=True)
             for k in range(width):
@@ -121,29 +127,30 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, width: int
     return Model((change @ vectors).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, **options) -> Model | None:
-    """A model of at most ``per_class`` labelled rows of either class, none of them held out.
+def train(docs: DataFrame, labels: DataFrame, most_toxic: int = 1500, most_clean: int = 4000, **options) -> Model | None:
+    """A model of a bounded number of labelled rows of either class, none of them held out.
 
-    Bags are made where the texts are; the driver gets those of the sample only.
+    Bags are made where the texts are; the driver gets those of the sample, packed.
     """
     prepared(docs.sparkSession)
     marked = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id")))
-    marked = marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    sample = balanced_sample(marked, "toxic", per_class)  # two classes: a fixed bound of rows
+    marked = marked.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    sample = bounded_sample(marked, "toxic", {1: most_toxic, 0: most_clean})  # hence small enough to broadcast
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [bag(t.as_py()) for t in batch["text"]]
-            columns = [batch["doc_id"].cast(pa.int64()), batch["toxic"], pa.array([m[0].tobytes() for m in made], pa.binary()), pa.array([m[1].tobytes() for m in made], pa.binary())]
-            yield pa.record_batch(columns, ["doc_id", "toxic", "buckets", "shares"])
+            steps = [packed(np.diff(b, prepend=0)) for b, _ in made]
+            columns = [batch["doc_id"], batch["toxic"], pa.array(steps, pa.binary()), pa.array([packed(c) for _, c in made], pa.binary())]
+            yield pa.record_batch(columns, ["doc_id", "toxic", "steps", "counts"])
 
-    chosen = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample.select(F.col("doc_id").cast("long"), "toxic")), "doc_id")
-    rows = chosen.mapInArrow(run, "doc_id long, toxic int, buckets binary, shares binary").collect()
-    rows.sort(key=lambda r: (r.doc_id, bytes(r.buckets), bytes(r.shares)))
+    chosen = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample.select("doc_id", "toxic")), "doc_id")
+    rows = chosen.mapInArrow(run, "doc_id long, toxic int, steps binary, counts binary").collect()
+    rows.sort(key=lambda r: (r.doc_id, bytes(r.steps), bytes(r.counts)))
     toxic = np.array([r.toxic for r in rows])
     if len(set(toxic.tolist())) < 2:
         return None
-    bags = [(np.frombuffer(r.buckets, np.int32), np.frombuffer(r.shares, np.float32)) for r in rows]
+    bags = [(np.cumsum(unpacked(bytes(r.steps)), dtype=np.int32), unpacked(bytes(r.counts))) for r in rows]
     return fit(bags, toxic, **options)
 
 
