@@ -59,10 +59,11 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[list[tupl
     return out, first
 
 
-def _ranges(keys: np.ndarray, count: int) -> np.ndarray:
-    """Where the hash ranges begin in sorted keys, the end appended."""
-    bounds = np.array([(k << 64) // count for k in range(1, count)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
+def _ranges(keys: np.ndarray, count: int) -> list[tuple[int, slice]]:
+    """The hash ranges that sorted keys fall into, and where the keys of each are."""
+    part = ((keys >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(keys)]
+    return [(int(part[a]), slice(a, b)) for a, b in zip(edges, edges[1:]) if a < b]
 
 
 def _joined(batches: list[pa.Array]) -> pa.Array:
@@ -90,12 +91,9 @@ def _bundles(order: int, parts: int, limit: int):
         rows = [(number, seal, compressed, lengths, ids, None, None, None, None)]
         for size, (hashed, real) in enumerate(ngrams(data, offsets, order)[0], start=1):
             keys, counts = np.unique(hashed[real], return_counts=True)
-            cuts = _ranges(keys, parts)
-            for part in range(parts):
-                some = slice(cuts[part], cuts[part + 1])
-                if cuts[part] < cuts[part + 1]:
-                    steps = np.diff(keys[some], prepend=np.uint64(0))
-                    rows.append((number, seal, None, None, None, part, size, packed(steps, "<u8"), packed(counts[some])))
+            for part, some in _ranges(keys, parts):
+                steps = np.diff(keys[some], prepend=np.uint64(0))
+                rows.append((number, seal, None, None, None, part, size, packed(steps, "<u8"), packed(counts[some])))
         for at in range(0, len(rows), 500):
             columns = zip(*rows[at : at + 500])
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
