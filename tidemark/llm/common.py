@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import tidemark.llm
-from tidemark.session import configure
+from tidemark.session import checkpoint_dir, configure
 from tidemark.sources import tables
 
 # Functions that run on executors travel whole, so these need no copy of the package.
@@ -24,9 +24,22 @@ def prepared(spark: SparkSession) -> SparkSession:
     """The session with the settings these operators rely on."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    # Steps hand on written tables, so the shuffle files of a step can go when it ends.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete the work tables that ``tables`` read, once what needs them has been written."""
+    for frame in tables:
+        spark = frame.sparkSession
+        shared = checkpoint_dir(spark).removeprefix("file://").rstrip("/") + "/"
+        for folder in {path.rpartition("/")[0] for path in frame.inputFiles()}:
+            if shared in folder:
+                place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+                place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tables.table(prepared(spark), sf_dir, name)
 
@@ -62,13 +75,17 @@ def unpacked(data: bytes, kind: str = "<i4") -> np.ndarray:
 
 _LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _TURN = np.uint64(0x9E3779B97F4A7C15)
+_BLOCK = 1 << 16  # words hashed at once
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,13 +105,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray, inside:
     closes[cuts - 1] = within[cuts - 1]
     starts = np.flatnonzero(opens)
     left = np.flatnonzero(closes) + 1 - starts
+    del opens, closes, within
     text = np.concatenate([folded, np.zeros(8, np.uint8)])
     eight = np.ndarray((len(folded) + 1,), "<u8", text, strides=(1,))
-    out, some, at = left.astype(np.uint64), np.arange(len(starts)), starts
-    while len(some):
-        out[some] = mixed(out[some] * _TURN + (eight[at] & _LOW_BYTES[np.minimum(left, 8)]))
-        more = left > 8
-        some, at, left = some[more], at[more] + 8, left[more] - 8
+    out = left.astype(np.uint64)
+    for block in range(0, len(starts), _BLOCK):
+        some = np.arange(block, min(block + _BLOCK, len(starts)))
+        at, size = starts[some], left[some]
+        while len(some):
+            out[some] = mixed(out[some] * _TURN + (eight[at] & _LOW_BYTES[np.minimum(size, 8)]))
+            more = size > 8
+            some, at, size = some[more], at[more] + 8, size[more] - 8
     return out, np.searchsorted(starts, offsets)
 
 
@@ -103,5 +124,6 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     count = max(0, len(words) - size + 1)
     out = np.zeros(count, np.uint64)
     for k in range(size):
-        out = out * _TURN + words[k : k + count]
+        out *= _TURN
+        out += words[k : k + count]
     return mixed(out)

@@ -44,19 +44,22 @@ _FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _INSIDE = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)])
 
 
-def ngrams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
-    """Of each order: hash of the n-gram that ends at each word, and whether its text has it.
+class Grams:
+    """The words of some texts, and their n-grams of one order at a time."""
 
-    Also the place of each text's first word.
-    """
-    words, first = word_hashes(data, offsets, _FOLD, _INSIDE)
-    place = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))
-    out = []
-    for size in range(1, order + 1):
-        hashed = np.zeros(len(words), np.uint64)
-        hashed[size - 1 :] = gram_hashes(words, size)
-        out.append((hashed, place >= size - 1))
-    return out, first
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.words, self.first = word_hashes(data, offsets, _FOLD, _INSIDE)
+        places = np.arange(len(self.words), dtype=np.int32)
+        self.place = places - np.repeat(self.first[:-1].astype(np.int32), np.diff(self.first))
+
+    def whole(self, size: int) -> np.ndarray:
+        """Whether a text has an n-gram that ends at each word."""
+        return self.place >= size - 1
+
+    def hashed(self, size: int) -> np.ndarray:
+        """Hashes of the n-grams, in order of the words they end at."""
+        ends = np.flatnonzero(self.whole(size)) - (size - 1)
+        return gram_hashes(self.words, size)[ends]
 
 
 def _ranges(keys: np.ndarray, count: int) -> list[tuple[int, slice]]:
@@ -86,11 +89,13 @@ def _bundles(order: int, parts: int, limit: int):
         data, offsets = utf8(_joined(texts))
         content = data.tobytes()
         seal = zlib.crc32(content)
-        compressed = zstandard.compress(content, 1)
+        compressed = zstandard.compress(content, 3)
         lengths = packed(np.diff(offsets), "<i8")
         rows = [(number, seal, compressed, lengths, ids, None, None, None, None)]
-        for size, (hashed, real) in enumerate(ngrams(data, offsets, order)[0], start=1):
-            keys, counts = np.unique(hashed[real], return_counts=True)
+        grams = Grams(data, offsets)
+        del data, content
+        for size in range(1, order + 1):
+            keys, counts = np.unique(grams.hashed(size), return_counts=True)
             for part, some in _ranges(keys, parts):
                 steps = np.diff(keys[some], prepend=np.uint64(0))
                 rows.append((number, seal, None, None, None, part, size, packed(steps, "<u8"), packed(counts[some])))
@@ -133,16 +138,19 @@ def _scored(order: int, alpha: float, least: int):
             lengths = unpacked(row.lengths, "<i8")
             ids = pd.array([None if pd.isna(i) else int(i) for i in row.ids], "Int64")
             data = np.frombuffer(zstandard.decompress(row.texts), np.uint8)
-            grams, first = ngrams(data, np.concatenate([[0], np.cumsum(lengths)]), order)
+            grams = Grams(data, np.concatenate([[0], np.cumsum(lengths)]))
+            first = grams.first
+            del data
             counts = []
-            for n, (hashed, real) in enumerate(grams, start=1):
+            for n in range(1, order + 1):
                 answer = totals[totals["size"] == n].sort_values("part")["totals"]
                 known = np.concatenate([np.empty(0, np.int64), *[unpacked(t, "<i8") for t in answer]])
-                keys, place = np.unique(hashed[real], return_inverse=True)
+                hashed = grams.hashed(n)
+                keys = np.unique(hashed)
                 if len(keys) != len(known):
                     raise RuntimeError("counts of a bundle are missing: the input's rows came in other partitions when read again")
-                count = np.zeros(len(hashed), np.int64)
-                count[real] = known[place]
+                count = np.zeros(len(grams.words), np.int64)
+                count[grams.whole(n)] = known[np.searchsorted(keys, hashed)]
                 counts.append(count)
             logs, open_words = _logs(counts, alpha, least)
             sums = np.add.reduceat(np.append(logs, 0.0), first[:-1])
