@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.common import forget
 from tidemark.session import stored
 
 
@@ -21,7 +22,8 @@ def components(pairs: DataFrame) -> DataFrame:
     edges = stored(edges.where("hi != lo").distinct(), "edges")
     before = None
     while (now := _signature(edges)) != before:
-        edges, before = stored(_small_star(_large_star(edges)), "edges"), now
+        old, edges, before = edges, stored(_small_star(_large_star(edges)), "edges"), now
+        forget(old)
     nodes = edges.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
     return nodes.union(edges.select("lo", "lo").distinct())
 
