@@ -36,18 +36,21 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import prepared
+from tidemark.llm.common import forget, prepared
 from tidemark.operators.order import global_positions, ordered_segments
 from tidemark.session import stored
 
 LENGTH = 400
-WINDOW = 64
+WINDOW = 96
 GRAM = 8
 END = -(1 << 63)  # stands behind the last phrase of a run, before all others
 # Texts that something is known of are found by a hash of so many bits before they are
 # moved: the broadcast table of hashes seen has at most 2^20 rows whatever the input.
 _NAME_BITS = 20
 _CHUNK = 1 << 16
+# Prefixes of more phrases than this, as texts of a short period have, are candidates
+# without a look at their neighbours; so two levels of names are enough for the others.
+DEPTH = 9
 
 
 def anchors(data: np.ndarray) -> np.ndarray:
@@ -66,8 +69,9 @@ def anchors(data: np.ndarray) -> np.ndarray:
 def _sliding(values: np.ndarray, best) -> np.ndarray:
     width = 1
     while width < WINDOW:
-        values = best(values[:-width], values[width:])
-        width *= 2
+        step = min(width, WINDOW - width)
+        values = best(values[:-step], values[step:])
+        width += step
     return values
 
 
@@ -107,7 +111,8 @@ def _phrases(length: int):
 def _runs(length: int):
     """The strings to sort, from the phrases kept of each text.
 
-    Rows (sid, place, c, key, pos, back, prefixes): runs of phrases next to each other.
+    Rows (sid, place, c, c1, c2, key, pos, back, prefixes): runs of phrases next to each
+    other, each with the two that follow.
     ``prefixes`` has the hashes of the first one, two ... phrases from here that lie in the
     bytes behind an anchor; it is null where they do not reach far enough to be shared.
     """
@@ -116,7 +121,7 @@ def _runs(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = TaskContext.get().partitionId() << 33
         for batch in batches:
-            out: dict[str, list] = {n: [] for n in ("sid", "place", "c", "key", "pos", "back", "prefixes")}
+            out: dict[str, list] = {n: [] for n in ("sid", "place", "c", "c1", "c2", "key", "pos", "back", "prefixes")}
             for key, phrases in zip(batch["key"].to_pylist(), batch["phrases"]):
                 fields = phrases.values
                 at, h = fields.field("at").to_numpy(), fields.field("h").to_numpy()
@@ -139,6 +144,8 @@ def _runs(length: int):
                     out["sid"] += [count] * len(some)
                     out["place"] += range(len(some))
                     out["c"] += values
+                    out["c1"] += [*values[1:], END]
+                    out["c2"] += [*values[2:], END, END][: len(values)]
                     out["key"] += [key] * len(some)
                     out["pos"] += pos[some].tolist()
                     out["back"] += back[some].tolist()
@@ -170,70 +177,73 @@ def _before(counted: DataFrame, keys: Sequence[str], counts: Sequence[str]) -> D
     offsets = totals.select("_seg", *[F.coalesce(F.sum(f"sum_{c}").over(order), F.lit(0)).alias(f"off_{c}") for c in counts])
     inside = Window.partitionBy("_seg").orderBy("_idx").rowsBetween(Window.unboundedPreceding, -1)
     sums = [(F.col(f"off_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(f"before_{c}") for c in counts]
-    return parts.join(F.broadcast(offsets), "_seg").select(*keys, *sums)  # one row per range partition
+    return parts.join(F.broadcast(offsets), "_seg").select(*keys, *counts, *sums)  # one row per range partition
 
 
 def suffix_ranks(strings: DataFrame, need: int, span: int = 1) -> DataFrame:
     """(sid, place, rank): how many suffixes are smaller, for all places of all strings.
 
-    ``strings`` has (sid, place, c), places dense from 0. Ranks order suffixes by their
-    first ``need`` symbols at least; suffixes that agree on more may share a rank.
+    ``strings`` has (sid, place, c, c1, c2): places dense from 0, a symbol and the two that
+    follow. Ranks order suffixes by their first ``need`` symbols at least; suffixes that
+    agree on more may share a rank.
     """
-    ahead = stored(_next(strings, "c", END), "triples")
-    sampled = ahead.where("place % 3 != 0")
-    triple = ["c", "c1", "c2"]
-    counted = sampled.groupBy(*triple).agg(F.count("*").alias("n"))
-    names = _before(counted, triple, ["n"])
-    named = stored(sampled.join(names, triple).select("sid", "place", F.col("before_n").alias("r")), "names")
-    if 3 * span < need and not counted.where("n > 1").isEmpty():
-        deeper = named.select(
-            (F.col("sid") * 2 + F.col("place") % 3 - 1).alias("sid"), F.floor(F.col("place") / 3).alias("place"), F.col("r").alias("c")
-        )
-        ranked = suffix_ranks(deeper, need, 3 * span)
-        named = ranked.select(
-            F.floor(F.col("sid") / 2).alias("sid"), (F.col("place") * 3 + F.col("sid") % 2 + 1).alias("place"), F.col("rank").alias("r")
-        )
-    return _merged(ahead, named)
-
-
-def _merged(ahead: DataFrame, named: DataFrame) -> DataFrame:
+    sampled, triple = strings.where("place % 3 != 0"), ["c", "c1", "c2"]
+    names = _before(sampled.groupBy(*triple).agg(F.count("*").alias("n")), triple, ["n"])
+    named = sampled.select("sid", "place", *triple).join(names, triple).select("sid", "place", F.col("before_n").alias("r"))
+    named = stored(named, "names")
+    more = 3 * span < need and not names.where("n > 1").isEmpty()
+    forget(names)
+    if not more:
+        return _merged(strings, named)
+    deeper = named.select((F.col("sid") * 2 + F.col("place") % 3 - 1).alias("sid"), F.floor(F.col("place") / 3).alias("place"), F.col("r").alias("c"))
+    deeper = stored(_next(deeper, "c", END), "triples")
+    forget(named)
+    ranked = suffix_ranks(deeper, need, 3 * span)
+    forget(deeper)
+    place = (F.col("place") * 3 + F.col("sid") % 2 + 1).alias("place")
+    return _merged(strings, ranked.select(F.floor(F.col("sid") / 2).alias("sid"), place, F.col("rank").alias("r")))
+
+
+def _merged(strings: DataFrame, named: DataFrame) -> DataFrame:
     """Ranks of all suffixes from those of the sampled ones, which ``named`` has as r.
 
     Places 0 and 1 mod 3 compare by one symbol and the rank behind it, places 0 and 2 by
     two; how many of either kind are smaller adds up to the rank.
     """
-    full = _next(ahead.join(named, ["sid", "place"], "left"), "r", -1)
-    full = stored(full.withColumn("kind", (F.col("place") % 3).cast("int")), "merge")
+    ranked = strings.select("sid", "place", "c", "c1").join(named, ["sid", "place"], "left")
+    full = stored(_next(ranked, "r", -1).withColumn("kind", (F.col("place") % 3).cast("int")), "merge")
+    forget(named)
 
     def kinds(*which: int) -> list[Column]:
         return [F.count(F.when(F.col("kind") == k, 1)).alias(f"n{k}") for k in which]
 
     one, two = ["c", "r1"], ["c", "c1", "r2"]
-    by_one = _before(full.where("kind in (0, 1)").groupBy(*one).agg(*kinds(0, 1)), one, ["n0", "n1"])
-    by_two = _before(full.where("kind in (0, 2)").groupBy(*two).agg(*kinds(0, 2)), two, ["n0", "n2"])
-    twos = by_two.withColumnRenamed("before_n0", "two_n0")
-    zero = full.where("kind = 0").join(by_one, one).join(twos, two).select("sid", "place", F.expr("before_n0 + before_n1 + before_n2").alias("rank"))
+    by_one = _before(full.where("kind in (0, 1)").groupBy(*one).agg(*kinds(0, 1)), one, ["n0", "n1"]).select(*one, "before_n0", "before_n1")
+    by_two = _before(full.where("kind in (0, 2)").groupBy(*two).agg(*kinds(0, 2)), two, ["n0", "n2"]).select(*two, F.col("before_n0").alias("two_n0"), "before_n2")
+    zero = full.where("kind = 0").join(by_one, one).join(by_two, two).select("sid", "place", F.expr("before_n0 + before_n1 + before_n2").alias("rank"))
     first = full.where("kind = 1").join(by_one, one).select("sid", "place", F.expr("before_n0 + r").alias("rank"))
-    second = full.where("kind = 2").join(twos, two).select("sid", "place", F.expr("two_n0 + r").alias("rank"))
-    return zero.union(first).union(second)
+    second = full.where("kind = 2").join(by_two, two).select("sid", "place", F.expr("two_n0 + r").alias("rank"))
+    ranks = stored(zero.union(first).union(second), "ranks")
+    forget(full, by_one, by_two)
+    return ranks
 
 
 def _candidates(strings: DataFrame) -> DataFrame:
     """(key, pos, back, g) of anchors whose prefix a neighbour in suffix order shares."""
-    need = strings.agg(F.max(F.size("prefixes"))).first()[0]
-    if not need or need < 1:
-        return strings.where("false").select("key", "pos", "back", F.lit(0).cast("long").alias("g"))
-    ranks = suffix_ranks(strings.select("sid", "place", "c"), need)
-    ordered = stored(global_positions(strings.join(ranks, ["sid", "place"]), ["rank", "sid", "place"], "order"), "suffixes")
-    near = ordered.select("order", "prefixes")
+    most = strings.agg(F.max(F.size("prefixes"))).first()[0] or 0
+    ranks = suffix_ranks(strings.select("sid", "place", "c", "c1", "c2"), min(most, DEPTH))
+    ordered = global_positions(strings.select("sid", "place", "key", "pos", "back", "prefixes").join(ranks, ["sid", "place"]), ["rank", "sid", "place"], "order")
+    size, own = F.size("prefixes"), F.element_at("prefixes", -1)
+    near = ordered.select("order", F.slice("prefixes", 1, DEPTH).alias("prefixes"))
     before = near.select((F.col("order") + 1).alias("order"), F.col("prefixes").alias("before"))
     after = near.select((F.col("order") - 1).alias("order"), F.col("prefixes").alias("after"))
-    size, own = F.size("prefixes"), F.element_at("prefixes", -1)
-    shared = F.lit(False)
+    shared = size > DEPTH
     for other in ("before", "after"):
         shared = shared | F.coalesce(F.get(other, size - 1) == own, F.lit(False))
     joined = ordered.where("prefixes is not null").join(before, "order", "left").join(after, "order", "left")
-    return joined.where(shared).select("key", "pos", "back", own.alias("g"))
+    found = stored(joined.where(shared).select("key", "pos", "back", own.alias("g")), "candidates")
+    forget(ranks, ordered)
+    return found
 
 
 def _strings_of(content: bytes, pos: int, back: int, length: int) -> tuple[int, int]:
@@ -303,9 +313,10 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     common = phrases.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     kept = phrases.join(common, "h", "left_semi").distinct()
     by_text = kept.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "h"))).alias("phrases"))  # of one text
-    schema = "sid long, place long, c long, key long, pos long, back long, prefixes array<long>"
+    schema = "sid long, place long, c long, c1 long, c2 long, key long, pos long, back long, prefixes array<long>"
     strings = stored(by_text.mapInArrow(_runs(length), schema), "runs")
-    found = stored(_candidates(strings), "candidates")
+    found = _candidates(strings)
+    forget(strings)
 
     lists = found.groupBy("key").agg(F.collect_list(F.struct("pos", "back", "g")).alias("found"))
     texts = _touched(named, found)[0].groupBy("key").agg(F.first("text").alias("text"))
