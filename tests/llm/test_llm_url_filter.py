@@ -76,6 +76,18 @@ def test_same_day_events_and_ends(spark):
     assert got == want(captures, entries) and [g[1] for g in got] == [False, True, True, True, False, False]
 
 
+def test_paths_keep_their_case(spark):
+    later = START + timedelta(5)
+    entries = [("X.org/EN", "spam", False, START, True), ("x.org/EN", "spam", False, later, False), ("x.org/en", "adult", False, START, True)]
+    entries += [("y.org", "spam", False, START, True), ("Y.org/Ok", "spam", True, START, True)]
+    urls = ["http://x.org/EN", "http://X.ORG/EN/a", "http://x.org/en", "http://x.org/En", "http://y.org/Ok", "http://y.org/ok"]
+    captures = [(k, url, day) for k, (url, day) in enumerate((u, d) for d in (START, later) for u in urls)]
+    found = {int(k): (lists, value) for k, _, lists, value in run(spark, captures, entries)}
+    same = [("adult", "x.org/en"), ("", "None"), ("", "None"), ("spam", "y.org")]
+    gone = [("", "None")] * 2
+    assert [found[k] for k in range(12)] == [("spam", "x.org/EN")] * 2 + same + gone + same
+
+
 def test_empty(spark):
     assert run(spark, [], [("x.org", "spam", False, START, True)]) == []
     assert run(spark, [(1, "http://x.org/", START)], []) == [("1", False, "", "None")]

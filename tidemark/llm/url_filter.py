@@ -60,8 +60,9 @@ def intervals(entries: DataFrame) -> DataFrame:
     ``valid_to`` is the first day on which the entry no longer holds.
     """
     known = entries.where("value is not null and list is not null and day is not null and added is not null")
-    known = known.where(F.size(F.split("value", "/")) <= MAX_PARTS + 1)
-    daily = known.groupBy(F.lower("value").alias("value"), "list", F.coalesce("allow", F.lit(False)).alias("allow"), F.to_date("day").alias("day")).agg(
+    # As in a capture, only the host has no case.
+    value = F.concat(F.lower(F.substring_index("value", "/", 1)), F.regexp_extract("value", "(?s)/.*", 0))
+    daily = known.groupBy(value.alias("value"), "list", F.coalesce("allow", F.lit(False)).alias("allow"), F.to_date("day").alias("day")).agg(
         F.max("added").alias("added")
     )
     history = Window.partitionBy("value", "list", "allow").orderBy("day")  # a row a day at most
