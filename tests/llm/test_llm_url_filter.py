@@ -88,6 +88,15 @@ def test_paths_keep_their_case(spark):
     assert [found[k] for k in range(12)] == [("spam", "x.org/EN")] * 2 + same + gone + same
 
 
+def test_entries_of_any_depth(spark):
+    deep, deeper = "x.org" + "/p" * 9, "x.org" + "/p" * 300
+    entries = [(deep, "spam", False, START, True), (deeper, "spam", True, START, True), ("y.org", "adult", False, START, True)]
+    entries += [("y.org/" + "/".join("abcdefghijkl"), "adult", True, START, True)]
+    urls = ["http://" + x for x in (deep, deep + "/q", deep[:-2], deeper, deeper + "/p", deeper[:-2], "y.org/a/b/c/d/e/f/g/h/i/j/k", "y.org/a/b/c/d/e/f/g/h/i/j/k/l?q")]
+    blocked = {int(k): on for k, on, *_ in run(spark, [(k, url, START) for k, url in enumerate(urls)], entries)}
+    assert [blocked[k] for k in range(len(urls))] == [True, True, False, False, False, True, True, False]
+
+
 def test_empty(spark):
     assert run(spark, [], [("x.org", "spam", False, START, True)]) == []
     assert run(spark, [(1, "http://x.org/", START)], []) == [("1", False, "", "None")]

@@ -16,16 +16,15 @@ with a third of all captures is a few hundred rows there.
 
 A null or unparsable URL matches nothing and is not blocked, nor is a capture without a
 fetch day; null values, lists and days of entries are ignored. Repeated captures are
-judged each. Very long URLs are matched by at most MAX_PARTS leading path parts and all
-their domains, which is what an entry can hold; longer entries are refused. Empty tables
-give empty results, an empty list blocks nothing. Other columns are ignored.
+judged each. A URL is matched by all its domains, and by its leading path parts of every
+length that some entry has, so no entry is too long. Empty tables give empty results, an
+empty list blocks nothing. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_PARTS = 8
 FOREVER = "9999-12-31"
 
 
@@ -42,15 +41,21 @@ def path_of(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, "/+", "/"), "^/|/$", "")
 
 
-def values_of(url: Column) -> Column:
-    """All list values that match a URL: its domains, and its host with leading path parts."""
+def depths_of(entries: DataFrame) -> list[int]:
+    """The different numbers of path parts of entries: at most as many as the longest has."""
+    depth = F.size(F.split("value", "/")) - 1
+    return sorted(r.depth for r in entries.where("value is not null").select(depth.alias("depth")).distinct().collect() if r.depth)
+
+
+def values_of(url: Column, depths: list[int]) -> Column:
+    """The values of a URL: its domains, and its host with leading path parts of each of ``depths``."""
     host, path = host_of(url), path_of(url)
     labels = F.split(host, r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     parts = F.split(path, "/")
-    count = F.when(F.length(path) > 0, F.least(F.size(parts), F.lit(MAX_PARTS))).otherwise(0)
-    leading = F.transform(F.sequence(F.lit(1), count), lambda i: F.concat_ws("/", host, F.array_join(F.slice(parts, F.lit(1), i), "/")))
-    prefixes = F.when(count > 0, leading).otherwise(F.array().cast("array<string>"))
+    count = F.when(F.length(path) > 0, F.size(parts)).otherwise(0)
+    reached = F.filter(F.array(*map(F.lit, depths)).cast("array<int>"), lambda i: i <= count)
+    prefixes = F.transform(reached, lambda i: F.concat_ws("/", host, F.array_join(F.slice(parts, F.lit(1), i), "/")))
     return F.when(host.isNotNull(), F.array_distinct(F.concat(domains, prefixes)))
 
 
@@ -81,7 +86,7 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """
     rows = captures.select("page_id", "url", F.to_date("fetched").alias("day"))
     asked = rows.where("url is not null and day is not null").select("url", "day").distinct()
-    wanted = asked.select("url", "day", F.explode(values_of(F.col("url"))).alias("value"))
+    wanted = asked.select("url", "day", F.explode(values_of(F.col("url"), depths_of(entries))).alias("value"))
 
     pairs = wanted.select("value", "day").distinct().withColumn("year", F.year("day"))
     last = pairs.agg(F.max("year")).first()[0] or 0
