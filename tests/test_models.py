@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from tidemark.config import FactorConfig
 from tidemark.operators import evaluation, factor
 from tidemark.operators.bias import fit_bias
+from tidemark.plans import catalog, models, streams
+from tidemark.plans.registry import Tables
+from tidemark.plans.rows import LINE_CUT
 
 CFG = FactorConfig(rank=4, iterations=8, reg=0.05)
 
@@ -79,3 +82,11 @@ def test_factor_top_n_against_brute_force(spark, planted):
         mine = sorted((r for r in got if r.user_id == u), key=lambda r: r.rank)
         assert [-r.score for r in mine] == pytest.approx([s for s, _ in best], abs=1e-5)
         assert not {r.item_id for r in mine} & {r.item_id for r in planted.filter(F.col("user_id") == u).collect()}
+
+
+def test_registered_lists_cover_all_users_with_the_default_model(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    past = Tables(spark, sf_dir).lines.filter(F.col("ts") < LINE_CUT)
+    lists = catalog.QUERIES["mf_top_n"](spark, sf_dir)
+    assert {r.user_id for r in lists.collect()} == {r.user_id for r in past.select("user_id").distinct().collect()}
+    assert models.FACTORS == streams.CYCLE.factors == FactorConfig()

@@ -15,8 +15,7 @@ from tidemark.sources import state
 from tidemark.sources.tables import LINE_ORDER
 
 TOP = 10
-# Small enough to train in seconds; the defaults stay in FactorConfig.
-FACTORS = FactorConfig(rank=8, iterations=5)
+FACTORS = FactorConfig()
 
 BIAS_SQL = f"""
 , placed as (select *, row_number() over (order by {LINE_ORDER_SQL}) as pos, count(*) over () as n from ln),
@@ -124,8 +123,7 @@ def mf_predictions(t: Tables) -> DataFrame:
 def mf_top_n(t: Tables) -> DataFrame:
     past = t.lines.filter(F.col("ts") < LINE_CUT)
     ranker = factor.fit_ranker(past, FACTORS)
-    users = t.raw("customer").filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("user_id"))
-    return recommend.enrich(factor.factor_top_n(ranker, past, users, TOP), t.items)
+    return recommend.enrich(factor.factor_top_n(ranker, past, past.select("user_id").distinct(), TOP), t.items)
 
 
 # -- metric history and the gate ---------------------------------------------------
