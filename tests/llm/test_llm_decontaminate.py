@@ -97,6 +97,18 @@ def test_long_texts_repeated_rows_and_empty_tables(spark, make_docs):
     assert found(spark, docs, [])[0].count() == 0 and decontaminate.clean(docs, benchmark.limit(0)).count() == 3
 
 
+def test_items_without_an_id_are_found(spark, make_docs, monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join(prose(rng, 20)) for _ in range(4)]
+    items = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2])]
+    docs = make_docs([(k, f"before {text} after") for k, text in enumerate(texts)])
+    for most in (decontaminate.GROUP_CHARS, 100):
+        monkeypatch.setattr(decontaminate, "GROUP_CHARS", most)
+        matches, benchmark = found(spark, docs, items)
+        assert sorted((r.doc_id, str(r.item_id)) for r in matches.collect()) == [(0, "None"), (1, "None"), (2, "7")]
+        assert [r.doc_id for r in decontaminate.clean(docs, benchmark).collect()] == [3]
+
+
 def test_the_index_misses_nothing_within_the_radius():
     rng = np.random.default_rng(0)
     rows, items = cases()

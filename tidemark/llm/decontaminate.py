@@ -13,7 +13,7 @@ how many shingles of an item a window shares, so a text that holds fewer of them
 such window, and every such window holds one of them.
 
 Null and empty texts and texts without words match nothing, nor do such items. Repeated
-rows are reported each; a null id stays null. Texts shorter than an item are compared as
+rows are reported each; a null id stays null, of a document as of an item. Texts shorter than an item are compared as
 one window. Empty tables give empty results. Other columns are ignored or passed through.
 """
 
@@ -71,7 +71,7 @@ class Items:
     blocks: dict[int, tuple[np.ndarray, np.ndarray]]  # by size: the items, and (block, value, item) near enough
 
 
-def index(rows: list[tuple[int, str]]) -> Items:
+def index(rows: list[tuple[int | None, str]]) -> Items:
     data, offsets = utf8(pa.array([text for _, text in rows], pa.string()))
     hashes, first = words(data, offsets)
     size = np.diff(first)
@@ -181,14 +181,15 @@ def _short(hashes: np.ndarray, first: np.ndarray, size: int, items: Items) -> li
 
 def _groups(benchmark: DataFrame) -> list[DataFrame]:
     """Items in groups of a bounded number of characters; most benchmarks are one group."""
-    items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null")
+    items = benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-2 * total // GROUP_CHARS)) if total > GROUP_CHARS else 1
-    return [items.where(F.pmod(F.xxhash64("item_id"), F.lit(count)) == k) for k in range(count)]
+    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k) for k in range(count)]
 
 
 def _indexed(group: DataFrame) -> Items:
-    rows = sorted((r.item_id, r.text) for r in group.distinct().collect())  # bounded by GROUP_CHARS
+    rows = [(r.item_id, r.text) for r in group.distinct().collect()]  # bounded by GROUP_CHARS
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     return index(rows)
 
 
