@@ -63,6 +63,16 @@ def test_held_out_labels_do_not_count(spark, make_docs):
     assert np.array_equal(one.gain, other.gain) and one.bias == other.bias
 
 
+def test_an_id_that_repeats_trains_once(spark, make_docs, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(toxicity, "fit", lambda bags, toxic: fitted.append((len(bags), sorted(toxic.tolist()))))
+    ids = [r.id for r in spark.range(1000).where(~held_out(F.col("id"))).limit(6).collect()]
+    docs = [(i, f"text of {i}") for i in ids] + [(ids[0], f"another text {k}") for k in range(200)]
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    toxicity.train(make_docs(docs), labels)
+    assert fitted == [(6, [0, 0, 0, 1, 1, 1])]
+
+
 def test_odd_rows(spark, make_docs, odd_rows):
     docs = make_docs(odd_rows)
     labels = spark.createDataFrame([(4, 1), (4, 0), (6, 0), (None, 1), (9, None), (5, 0), (77, 1)], "doc_id long, toxic int")

@@ -130,7 +130,8 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, width: int
 def train(docs: DataFrame, labels: DataFrame, most_toxic: int = 1500, most_clean: int = 4000, **options) -> Model | None:
     """A model of a bounded number of labelled rows of either class, none of them held out.
 
-    Bags are made where the texts are; the driver gets those of the sample, packed.
+    An id that repeats gives one of its texts, the one with the largest hash. Bags are made
+    on the executors; the driver gets those of the sample, packed.
     """
     prepared(docs.sparkSession)
     marked = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id")))
@@ -145,7 +146,8 @@ def train(docs: DataFrame, labels: DataFrame, most_toxic: int = 1500, most_clean
             yield pa.record_batch(columns, ["doc_id", "toxic", "steps", "counts"])
 
     chosen = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(sample.select("doc_id", "toxic")), "doc_id")
-    rows = chosen.mapInArrow(run, "doc_id long, toxic int, steps binary, counts binary").collect()
+    one = F.max(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
+    rows = chosen.groupBy("doc_id", "toxic").agg(one).mapInArrow(run, "doc_id long, toxic int, steps binary, counts binary").collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.steps), bytes(r.counts)))
     toxic = np.array([r.toxic for r in rows])
     if len(set(toxic.tolist())) < 2:
