@@ -62,6 +62,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places start, start + 1, ... of each run, one run after the other."""
+    first = np.cumsum(counts) - counts
+    return np.arange(int(counts.sum())) + np.repeat(starts - first, counts)
+
+
 def packed(values: np.ndarray, kind: str = "<i4") -> bytes:
     """Numbers as planes of bytes, compressed: high planes are mostly zero."""
     planes = np.ascontiguousarray(values, kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, decontaminate, langid, lm, secrets, simhash, suffix_dedup, topk, toxicity, url_filter
+from tidemark.llm import bpe, decontaminate, fim, langid, lm, merkle, pieces, secrets, simhash, suffix_dedup, topk, toxicity, url_filter
 from tidemark.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,3 +224,111 @@ select doc_id, coalesce(n_words, 0) as n_words, round(score, 6) as score from do
 def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lm.scores(table(spark, sf_dir, "documents"), order=3, alpha=0.4, least=2)
     return found.withColumn("score", F.round("score", 6))
+
+
+FIM_SQL = r"""
+with texts as (
+  select doc_id, coalesce(text, '') as text, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+units as (
+  select doc_id, text, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u,
+         cast('0x' || substr(h, 1, 8) as bigint) as h1, cast('0x' || substr(h, 9, 8) as bigint) as h2,
+         cast('0x' || substr(h, 17, 8) as bigint) as h3, cast('0x' || substr(h, 25, 8) as bigint) as h4 from texts),
+cut as (
+  select doc_id, text, u, cast(len(u) as bigint) as n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) as a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) as b,
+         case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50 then 'plain'
+              when h4 % 100 < 80 then 'spm' else 'psm' end as form from units),
+parts as (
+  select doc_id, text, n, form, coalesce(array_to_string(u[1:a], ''), '') as p, coalesce(array_to_string(u[a + 1:b], ''), '') as m,
+         coalesce(array_to_string(u[b + 1:], ''), '') as s from cut)
+select doc_id, n, form, case when form <> 'plain' then cast(length(p) as bigint) end as prefix_chars,
+       case when form <> 'plain' then cast(length(m) as bigint) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(text) as restored_sha256
+from parts
+"""
+
+
+@query("op11_fill_in_middle", FIM_SQL)
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents"), seed=42, rate=50, suffix_first=80)
+    restored = fim.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256")
+    )
+
+
+@query("op12_sentence_pieces")
+def sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), path), path)
+
+    @F.arrow_udf("binary")
+    def packed_ids(ids: pa.Array) -> pa.Array:
+        return pieces.little_endian(ids)
+
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(packed_ids("ids"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+# CRC-32 of the decimal doc_id, bit by bit.
+CRC32_SQL = """xor(4294967295, list_reduce(list_concat([cast(4294967295 as bigint)],
+  list_transform(string_split(cast(doc_id as varchar), ''), lambda d: cast(ascii(d) as bigint))),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+MERKLE_SQL = """
+with recursive leaves as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as size,
+         row_number() over () as id
+  from (
+    select doc_id, lang,
+           sha256({doc_id} || {source} || {lang} || {n_chars} || {text}) as leaf,
+           sha256({doc_id} || {source} || {lang} || {claimed} || {text}) as claim
+    from documents)),
+nodes as (
+  select lang, 0 as level, pos, leaf as digest, size from leaves
+  union all
+  select lang, level + 1, pos // 2, sha256(string_agg(digest, '' order by pos)), (any_value(size) + 1) // 2 from nodes where size > 1 group by lang, level, pos // 2),
+subroots as (
+  select lang, digest, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as size from nodes where size = 1),
+upper as (
+  select 0 as level, pos, digest, size from subroots
+  union all
+  select level + 1, pos // 2, sha256(string_agg(digest, '' order by pos)), (any_value(size) + 1) // 2 from upper where size > 1 group by level, pos // 2),
+steps as (
+  select l.id, l.pos >> n.level as at, n.level as step, s.digest as other
+  from leaves l join (select distinct lang, level from nodes where size > 1) n on l.lang is not distinct from n.lang
+  left join nodes s on s.lang is not distinct from l.lang and s.level = n.level and s.pos = xor(l.pos >> n.level, 1)
+  union all
+  select l.id, r.pos >> n.level, 1000 + n.level, s.digest
+  from leaves l join subroots r on l.lang is not distinct from r.lang cross join (select distinct level from upper where size > 1) n
+  left join upper s on s.level = n.level and s.pos = xor(r.pos >> n.level, 1)),
+numbered as (select *, row_number() over (partition by id order by step) as k from steps),
+proofs as (select id, coalesce(string_agg(other, '' order by k), '') as proof from numbered group by id),
+folded as (
+  select id, 0 as k, claim as digest from leaves
+  union all
+  select f.id, f.k + 1, sha256(case when n.other is null then f.digest when n.at % 2 = 1 then n.other || f.digest else f.digest || n.other end)
+  from folded f join numbered n on n.id = f.id and n.k = f.k + 1),
+ends as (select id, arg_max(digest, k) as folded_root from folded group by id),
+top as (select digest as root from upper where size = 1)
+select l.doc_id, l.leaf, r.digest as subroot, top.root, sha256(coalesce(p.proof, '')) as proof_sha256, e.folded_root, e.folded_root = top.root as verified
+from leaves l join subroots r on l.lang is not distinct from r.lang cross join top join ends e on e.id = l.id left join proofs p on p.id = l.id
+""".format(
+    **{
+        name: f"coalesce(octet_length(encode(cast({value} as varchar))) || ':' || cast({value} as varchar), '-')"
+        for name, value in {
+            **{c: c for c in ("doc_id", "source", "lang", "n_chars", "text")},
+            "claimed": f"(n_chars + case when {CRC32_SQL} % 7 = 0 then 1 else 0 end)",
+        }.items()
+    }
+)
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    claimed = {"n_chars": F.col("n_chars") + F.when(tampered, 1).otherwise(0)}
+    made = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], group="lang", key="doc_id", claimed=claimed)
+    return made.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
