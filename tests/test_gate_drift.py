@@ -126,3 +126,46 @@ def test_monitoring_and_trigger(spark):
         ).collect()
     }
     assert got == {1: (True, True, False, False, True), 2: (False, False, False, False, False)}
+
+
+def two_sides(spark, reference, current):
+    frame = lambda values: spark.createDataFrame([(float(a), float(b)) for a, b in values], "rating double, ts double")
+    return frame(reference), frame(current)
+
+
+@pytest.mark.parametrize("shift", [0.02, 0.1])
+def test_sketches_hold_the_exact_score_in_their_band(spark, shift):
+    rng = np.random.default_rng(int(shift * 100))
+    reference = list(zip(rng.integers(1, 11, 6000) / 2, rng.normal(0, 1, 6000) * 1e6 + 1.7e9))
+    current = list(zip(np.clip(rng.integers(1, 11, 5000) / 2 + shift, 0.5, 5), rng.normal(shift, 1, 5000) * 1e6 + 1.7e9))
+    ref, cur = two_sides(spark, reference, current)
+    numbered = lambda df, parts: df.withColumn("batch_id", (F.monotonically_increasing_id() % parts).cast("int"))
+    sketches = drift.column_sketches(numbered(ref, 5)), drift.column_sketches(numbered(cur, 3))
+    exact_distances = drift.drift_distances(ref, cur)
+    for method in ("ks", "wasserstein"):
+        exact = {r["column"]: r for r in drift.column_drift(exact_distances, method).collect()}
+        found = {r["column"]: r for r in drift.sketched_drift(*sketches, method).collect()}
+        assert exact.keys() == found.keys()
+        for name, row in found.items():
+            assert (row.n_ref, row.n_cur) == (6000, 5000) and row.ref_std == pytest.approx(exact[name].ref_std)
+            assert abs(row.score - exact[name].score) <= row.band
+            assert not row.certain or row.drifted == exact[name].drifted
+        asked = []
+
+        def ask(columns):
+            asked.extend(columns)
+            return exact_distances.filter(F.col("column").isin(list(columns)))
+
+        verdict = drift.detect_drift_from_sketches(*sketches, ask, method).first()
+        assert tuple(verdict) == tuple(drift.dataset_drift(drift.column_drift(exact_distances, method)).first())
+        assert sorted(asked) == sorted(n for n, r in found.items() if not r.certain)
+
+
+def test_clear_drift_needs_no_exact_path(spark):
+    ref, cur = two_sides(spark, [(1 + k % 3, k) for k in range(3000)], [(4, k + 9000) for k in range(500)])
+    one = lambda df: drift.column_sketches(df.withColumn("batch_id", F.lit(1)))
+
+    def never(columns):
+        raise AssertionError(columns)
+
+    assert drift.detect_drift_from_sketches(one(ref), one(cur), never).first().drift_detected

@@ -112,3 +112,50 @@ def test_text_layouts(spark, tmp_path):
     assert files.read_items(spark, str(tmp_path / "m.csv"), "csv").first().title == "Café, The (1999)"
     with pytest.raises(ValueError):
         files.read_items(spark, str(tmp_path / "m.csv"), "xml")
+
+
+def brute_chain(times, width):
+    starts, rest = [], sorted(set(times))
+    while rest:
+        starts.append(rest[0])
+        rest = [x for x in rest if x >= starts[-1] + width]
+    return starts
+
+
+def test_successors_cross_days_and_gaps(spark):
+    import bisect
+    import random
+
+    rng = random.Random(6)
+    times = sorted({rng.randrange(-3 * DAY, 60 * DAY) for _ in range(400)} | set(range(5 * DAY - 20, 5 * DAY + 20)) | {90 * DAY, 90 * DAY + 5})
+    seconds = spark.createDataFrame([(t,) for t in times], "ts long")
+    for width in (7, DAY, 3 * DAY, 400 * DAY):
+        got = {r.ts: r.next for r in slices.successors(seconds, width).collect()}
+        at = {t: bisect.bisect_left(times, t + width) for t in times}
+        assert got == {t: times[k] if k < len(times) else None for t, k in at.items()}
+
+
+def test_chains_of_every_length(spark, ratings):
+    for count in (0, 1, 3, 4):
+        df = ratings([(1, 1, 4.0, k * DAY) for k in range(count)] or [(1, 1, 4.0, 0)])
+        df = df if count else df.limit(0)
+        got = [(r.batch_id, r.slice_start) for r in slices.slice_chain(df, 1).orderBy("batch_id").collect()]
+        assert got == [(k + 1, k * DAY) for k in range(count)]
+
+
+def test_jobs_do_not_follow_the_number_of_slices(spark):
+    """5,000 slices take a few jobs for each doubling, not one for each slice."""
+    import random
+
+    rng = random.Random(9)
+    times = sorted({rng.randrange(12_000 * DAY) for _ in range(20_000)})
+    df = spark.createDataFrame([(t,) for t in times], "ts long").checkpoint()
+    sc = spark.sparkContext
+    sc.setJobGroup("chain", "chain")
+    try:
+        chain = [r.slice_start for r in slices.slice_chain(df, 1).orderBy("batch_id").collect()]
+        jobs = len(sc.statusTracker().getJobIdsForGroup("chain"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert chain == brute_chain(times, DAY) and len(chain) > 5000
+    assert jobs < 400

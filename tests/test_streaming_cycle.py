@@ -1,9 +1,10 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.config import EngineConfig, FactorConfig, SliceConfig
+from tidemark.config import EngineConfig, FactorConfig, SliceConfig, StorageConfig
 from tidemark.operators import gate, quality
 from tidemark.plans.cycle import CyclePaths, NoMoreData, run_cycle, run_weekly
 from tidemark.sources import state
@@ -86,7 +87,7 @@ def test_latest_sequences_keep_state_between_runs(spark, arrive, tmp_path):
     for part in (rows[:70], rows[70:]):
         schema = arrive(part)
         jobs.run_available(
-            jobs.latest_sequences(source(spark, schema, tmp_path, None), 5), str(tmp_path / "ck"), jobs.append_epochs(out), "update"
+            jobs.latest_sequences(source(spark, schema, tmp_path, None), 5), str(tmp_path / "ck"), jobs.append_epochs(out), "update", 2, jobs.ROCKSDB
         )
     got = {r.user_id: list(r.sequence) for r in jobs.latest_by_key(spark.read.parquet(out), "user_id").collect()}
     numbered = [(*r, i) for part in (rows[:70], rows[70:]) for i, r in enumerate(part)]
@@ -98,7 +99,42 @@ def test_latest_sequences_keep_state_between_runs(spark, arrive, tmp_path):
     assert set(got) == {0, 1, 2, 3}
 
 
-CFG = EngineConfig(slices=SliceConfig(days=20), factors=FactorConfig(rank=2, iterations=2))
+def test_an_idle_user_is_forgotten(spark, arrive, ratings, tmp_path):
+    """Within the time the sequence goes on after a restart, beyond it begins anew."""
+    out = str(tmp_path / "out")
+
+    def run(rows, idle_ms, checkpoint):
+        schema = arrive(rows) if rows else ratings([]).schema
+        sequences = jobs.latest_sequences(source(spark, schema, tmp_path, None), 5, idle_ms)
+        jobs.run_available(sequences, str(tmp_path / checkpoint), jobs.append_epochs(f"{out}-{checkpoint}"), "update", 2, jobs.ROCKSDB)
+        return {r.user_id: list(r.sequence) for r in jobs.latest_by_key(spark.read.parquet(f"{out}-{checkpoint}"), "user_id").collect()}
+
+    assert run([(1, 10, 4.0, 1), (1, 11, 4.0, 2)], 2_000, "short") == {1: [10, 11]}
+    time.sleep(4)
+    assert run([(1, 12, 4.0, 3)], 2_000, "short") == {1: [12]}
+    assert run([], 3_600_000, "long") == {1: [10, 11, 12]}
+    assert run([(1, 13, 4.0, 4)], 3_600_000, "long") == {1: [10, 11, 12, 13]}
+
+
+def test_late_rows_are_kept_with_a_reason(spark, arrive, tmp_path):
+    root, checkpoint = str(tmp_path / "root"), str(tmp_path / "ck")
+    parts = [
+        [(1, 1, 4.0, 100), (2, 1, 4.0, 200)],
+        [(1, 1, 4.0, 100), (3, 1, 4.0, 150), (4, 1, 4.0, 200), (5, 1, 4.0, 201), (6, 1, 4.0, None)],
+        [(7, 1, 4.0, 190), (8, 1, 4.0, 195), (8, 1, 4.0, 195), (2, 1, 4.0, 200)],
+    ]
+    for rows, allowed in zip(parts, (0, 0, 10)):
+        schema = arrive(rows)
+        for _ in range(2):  # a second call finds nothing new
+            jobs.ingest_in_order(source(spark, schema, tmp_path), root, checkpoint, allowed, buckets=2)
+    released = sorted((r.batch_id, r.user_id) for r in jobs.released_rows(spark, root).collect())
+    side = sorted((r.batch_id, r.user_id, r.reason) for r in jobs.side_rows(spark, root, schema).collect())
+    assert released == [(1, 1), (1, 2), (2, 5), (3, 8), (3, 8)]
+    assert side == [(2, 1, "known"), (2, 3, "late"), (2, 4, "late"), (2, 6, "no time"), (3, 2, "known"), (3, 7, "late")]
+    assert len(released) + len(side) == sum(map(len, parts))
+
+
+CFG = EngineConfig(slices=SliceConfig(days=20), factors=FactorConfig(rank=2, iterations=2), storage=StorageConfig(buckets=4))
 
 
 def test_cycles_release_log_and_gate(spark, ratings, tmp_path):

@@ -63,6 +63,13 @@ class MonitoringConfig:
     min_new_rows: int = 1000
 
 
+@dataclass(frozen=True)
+class StorageConfig:
+    """Buckets that history and user state are cut into; some hundred for billions of rows."""
+
+    buckets: int = 64
+
+
 @dataclass(frozen=True)
 class EngineConfig:
     slices: SliceConfig = field(default_factory=SliceConfig)
@@ -72,3 +79,4 @@ class EngineConfig:
     evaluation: EvaluationConfig = field(default_factory=EvaluationConfig)
     split: SplitConfig = field(default_factory=SplitConfig)
     monitoring: MonitoringConfig = field(default_factory=MonitoringConfig)
+    storage: StorageConfig = field(default_factory=StorageConfig)

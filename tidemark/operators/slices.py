@@ -23,41 +23,50 @@ def next_slice(df: DataFrame, high_water_mark: int | None, days: int) -> DataFra
     return remaining.filter(F.col("ts") < end)
 
 
-def occupied_runs(df: DataFrame) -> DataFrame:
-    """Runs of consecutive occupied seconds (``run_start``, ``run_end``), cut at midnight.
+def successors(seconds: DataFrame, width: int) -> DataFrame:
+    """(ts, next): the first occupied second at or after ``ts + width``, NULL behind the last.
 
-    Dense data leaves few runs, sparse data has few rows. A day has at most 86,400
-    distinct seconds, which bounds the window.
+    ``seconds`` has distinct times. A search is confined to the calendar day of the end,
+    at most 86,400 times and as many ends; what it does not find there is the first time
+    of the next occupied day, from a table with one row for each calendar day.
     """
-    seconds = df.select("ts").filter(F.col("ts").isNotNull()).distinct().withColumn("day", calendar_day(F.col("ts")))
-    in_day = Window.partitionBy("day").orderBy("ts")
-    fresh = (F.col("ts") - F.lag("ts").over(in_day) > 1) | F.lag("ts").over(in_day).isNull()
-    return (
-        seconds.withColumn("fresh", fresh.cast("int"))
-        .withColumn("run", F.sum("fresh").over(in_day.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("day", "run")
-        .agg(F.min("ts").alias("run_start"), F.max("ts").alias("run_end"))
-        .select("run_start", "run_end")
+    marks = seconds.select("ts", F.col("ts").alias("found"), F.lit(None).cast("long").alias("of")).unionByName(
+        seconds.select((F.col("ts") + F.lit(width)).alias("ts"), F.lit(None).cast("long").alias("found"), F.col("ts").alias("of"))
     )
+    marks = marks.withColumn("day", calendar_day(F.col("ts")))
+    # From the end of the day back, times before the ends of the same second.
+    backwards = Window.partitionBy("day").orderBy(F.desc("ts"), F.col("of").asc_nulls_first())
+    in_day = marks.withColumn("next", F.min("found").over(backwards.rowsBetween(Window.unboundedPreceding, 0))).filter("of is not null")
+    days = marks.groupBy("day").agg(F.min("found").alias("first"))
+    later = Window.orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, -1)
+    after = days.select("day", F.min("first").over(later).alias("after"))
+    return in_day.join(F.broadcast(after), "day").select(F.col("of").alias("ts"), F.coalesce("next", "after").alias("next"))
 
 
 def slice_chain(df: DataFrame, days: int) -> DataFrame:
     """(batch_id, slice_start, slice_end) of every slice of the table.
 
     A slice starts at the first row at or after the previous end, so starts depend on
-    the data and a fixed-width window is wrong. Each step looks up one row of the
-    stored runs; there are at most span / days steps.
+    the data and a fixed-width window is wrong. The table of successors is composed with
+    itself: the slices known so far jump by as many at once, and each step doubles them. The
+    number of jobs grows with the logarithm of the number of slices.
     """
     width = days * DAY_SECONDS
-    runs = stored(occupied_runs(df), "runs")
-    chain = []
-    start = runs.agg(F.min("run_start")).first()[0]
-    while start is not None:
-        chain.append((len(chain) + 1, start, start + width))
-        end = start + width
-        later = runs.filter(F.col("run_end") >= end).orderBy("run_start").first()
-        start = None if later is None else max(later.run_start, end)
-    return df.sparkSession.createDataFrame(chain, "batch_id int, slice_start long, slice_end long")
+    seconds = stored(df.select("ts").filter(F.col("ts").isNotNull()).distinct(), "seconds")
+    jump = stored(successors(seconds, width), "successors")
+    # Only a time that something leads to can start a slice, except for the first.
+    first = seconds.agg(F.min("ts").alias("ts"), F.lit(0).cast("long").alias("rank")).filter("ts is not null")
+    starts = jump.select(F.col("next").alias("ts")).filter("ts is not null").unionByName(first.select("ts")).distinct()
+    jump = stored(jump.join(starts, "ts", "left_semi"), "successors")
+    chain, step, known = stored(first, "chain"), 1, 1
+    while known == step:  # the last step found a slice for every one it started from
+        ahead = chain.join(jump, "ts").select(F.col("next").alias("ts"), (F.col("rank") + F.lit(step)).alias("rank")).filter("ts is not null")
+        chain = stored(chain.unionByName(ahead), "chain")
+        step, known = 2 * step, chain.count()
+        if known == step:
+            further = jump.select(F.col("ts").alias("next"), F.col("next").alias("further"))
+            jump = stored(jump.filter("next is not null").join(further, "next").select("ts", F.col("further").alias("next")), "successors")
+    return chain.select((F.col("rank") + 1).cast("int").alias("batch_id"), F.col("ts").alias("slice_start"), (F.col("ts") + F.lit(width)).alias("slice_end"))
 
 
 def assign_slices(df: DataFrame, days: int) -> DataFrame:

@@ -5,28 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators import drift, gate, monitor, slices
+from tidemark.operators.audience import AudienceStore
 from tidemark.plans.models import LOG_SQL, metric_series
 from tidemark.plans.registry import Tables, query
 from tidemark.plans.rows import CHAIN_SQL, EVENT_CUT, event_slices
+from tidemark.session import stored, work_path
+from tidemark.sources import files
 
 SCHEDULE_DAYS = 3
 MIN_NEW_ROWS = 1000
 
 
-@query(
-    "batch_monitoring",
+MONITORING_SQL = (
     CHAIN_SQL
     + """, fu as (select user_id, min(batch_id) as batch_id from sliced group by user_id),
     fi as (select item_id, min(batch_id) as batch_id from sliced group by item_id)
     select batch_id, count(*) as num_interactions, round(avg(rating), 6) as mean_rating,
       count(distinct user_id) as active_users, (select count(*) from fu where fu.batch_id = s.batch_id) as new_users,
       count(distinct item_id) as active_items, (select count(*) from fi where fi.batch_id = s.batch_id) as new_items
-    from sliced s group by batch_id""",
+    from sliced s group by batch_id"""
 )
+
+
+@query("batch_monitoring", MONITORING_SQL)
 def batch_monitoring(t: Tables) -> DataFrame:
     return monitor.batch_monitoring(event_slices(t))
 
 
+@query("audience_by_slice", MONITORING_SQL)
+def audience_by_slice(t: Tables) -> DataFrame:
+    """The same rows, slice by slice from the bitmaps that the slice before has left."""
+    path = work_path(t.spark, "audience-slices")
+    files.write_slice(event_slices(t), path)
+    batches = t.spark.read.parquet(path)
+    store = AudienceStore(t.spark, work_path(t.spark, "audience"))
+    for row in batches.select("batch_id").distinct().orderBy("batch_id").collect():  # one row a slice
+        store.update(batches.filter(F.col("batch_id") == row.batch_id), row.batch_id)
+    return store.reports()
+
+
 @query("rating_histogram", CHAIN_SQL + "select batch_id, rating, count(*) as num_ratings from sliced group by batch_id, rating")
 def rating_histogram(t: Tables) -> DataFrame:
     return monitor.rating_histogram(event_slices(t))
@@ -75,18 +92,32 @@ def drift_wasserstein(t: Tables) -> DataFrame:
     return drift.column_drift(_distances(t), "wasserstein").select("column", "score", "drifted")
 
 
-@query(
-    "dataset_drift",
+VERDICT_SQL = (
     EVENT_DRIFT_SQL
     + """, picked as (select case when k.n_ref <= 1000 then k.drifted else w.drifted end as drifted, k.n_cur
       from ks_test k join ws_test w using ("column"))
     select round(avg(cast(cast(drifted as int) as double)), 6) as drift_share, cast(max(n_cur) as bigint) as current_rows,
-      max(n_cur) >= 10 and avg(cast(cast(drifted as int) as double)) >= 0.5 as drift_detected from picked""",
+      max(n_cur) >= 10 and avg(cast(cast(drifted as int) as double)) >= 0.5 as drift_detected from picked"""
 )
+
+
+@query("dataset_drift", VERDICT_SQL)
 def dataset_drift(t: Tables) -> DataFrame:
     return drift.dataset_drift(drift.column_drift(_distances(t)))
 
 
+@query("sketched_drift", VERDICT_SQL)
+def sketched_drift(t: Tables) -> DataFrame:
+    """The same verdict from a sketch for each calendar day and column."""
+    daily = t.events.withColumn("batch_id", F.floor(F.col("ts") / 86_400).cast("int"))
+    stored_sketches = stored(drift.column_sketches(daily), "sketches")
+    earlier = F.col("batch_id") < EVENT_CUT // 86_400  # the cut is a midnight
+    sides = [t.events.filter(F.col("ts") < EVENT_CUT), t.events.filter(F.col("ts") >= EVENT_CUT)]
+    return drift.detect_drift_from_sketches(
+        stored_sketches.filter(earlier), stored_sketches.filter(~earlier), lambda columns: drift.drift_distances(*sides).filter(F.col("column").isin(list(columns)))
+    )
+
+
 # The latest slice against all earlier ones; degradation comes from the metric history.
 @query(
     "retrain_trigger",

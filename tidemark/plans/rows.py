@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.functions.columns import iso_time, slice_label
 from tidemark.operators import delta, filters, quality, slices, split
 from tidemark.plans.registry import Tables, query
-from tidemark.session import work_path
+from tidemark.session import stored, work_path
 from tidemark.sources import files, state
+from tidemark.sources.history import BucketedHistory
 from tidemark.sources.schemas import KEY
 from tidemark.sources.tables import EVENT_ORDER, LINE_ORDER
 
@@ -226,8 +227,7 @@ def _holed(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "snapshot_diff",
+DIFF_SQL = (
     HOLED_SQL
     + f"""select l_orderkey, l_linenumber, coalesce(user_id, -1) as user_id, item_id, rating,
     coalesce(ts, -1) as ts, real_ts from holed c

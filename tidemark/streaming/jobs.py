@@ -6,11 +6,12 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.operators import quality
-from tidemark.operators.delta import snapshot_diff
+from tidemark.session import stored
 from tidemark.sources.files import path_exists, write_slice
+from tidemark.sources.history import KEY_COLUMN, BucketedHistory
 from tidemark.sources.schemas import KEY
 
 
@@ -28,15 +29,20 @@ def run_available(
     each_batch: Callable[[DataFrame, int], None],
     mode: str = "append",
     state_partitions: int | None = None,
+    state_store: str | None = None,
 ) -> None:
     """Process everything not yet processed, then stop; a later call resumes.
 
     ``state_partitions`` fixes the number of state stores when the checkpoint is new;
-    it cannot change later. The default is the session's shuffle partitions.
+    it cannot change later. The default is the session's shuffle partitions. ``state_store``
+    names the class that keeps state; no batches without data are run then, of which state
+    with an expiry would ask for ever more. All settings are the session's own afterwards.
     """
     conf = stream.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
+    names = ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.noDataMicroBatches.enabled")
+    before = [conf.get(name) for name in names]
+    for name, own, asked in zip(names, before, (state_partitions, state_store, "false" if state_store else None)):
+        conf.set(name, str(asked or own))
     try:
         query = (
             stream.writeStream.outputMode(mode)
@@ -46,7 +52,8 @@ def run_available(
             .start()
         )
     finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+        for name, own in zip(names, before):
+            conf.set(name, own)
     query.awaitTermination()
 
 
@@ -56,6 +63,7 @@ def ingest(
     checkpoint: str,
     order: Sequence[str],
     quarantine_path: str | None = None,
+    buckets: int = 64,
 ) -> None:
     """Validate each micro-batch, keep what history lacks, append it as one slice.
 
@@ -75,15 +83,74 @@ def ingest(
             flagged = quality.flag_rows(rows, order)
             write_slice(quality.quarantined_rows(flagged).withColumn("batch_id", F.lit(number)), quarantine_path)
             rows = quality.good_rows(flagged)
-        history = None
-        if path_exists(spark, history_path):
-            schema = T.StructType([*rows.schema.fields, T.StructField("batch_id", T.IntegerType())])
-            history = spark.read.schema(schema).parquet(history_path).filter(F.col("batch_id") < number)
-        write_slice(snapshot_diff(rows, history).withColumn("batch_id", F.lit(number)), history_path)
+        history = BucketedHistory(spark, history_path, rows.schema, buckets=buckets)
+        history.write(history.lacks(rows, number), number)
 
     run_available(stream, checkpoint, each)
 
 
+# Why a row went beside the stream.
+LATE, KNOWN, UNTIMED = "late", "known", "no time"
+
+
+def ingest_in_order(stream: DataFrame, root: str, checkpoint: str, allowed_lateness: int = 0, buckets: int = 64) -> None:
+    """Append the rows that come after what is committed; store all others with a reason.
+
+    The mark is the latest time committed by earlier micro-batches. Rows at most
+    ``allowed_lateness`` seconds below it are taken if history lacks their key, and are ``known``
+    otherwise. Rows further back are ``late``, or ``known`` if history has them. No row is
+    dropped: ``released_rows`` and ``side_rows`` together are the input. Only rows at or
+    below the mark are compared with history. A repeated micro-batch writes the same again.
+    """
+    columns = [c for c in stream.columns if c != "batch_id"]
+
+    def each(batch: DataFrame, epoch: int) -> None:
+        spark, number = batch.sparkSession, epoch + 1
+        rows = batch.select(*columns)
+        history = BucketedHistory(spark, f"{root}/history", rows.schema, buckets=buckets)
+        mark = _committed_mark(spark, root, number)
+        if mark is None:
+            ahead, behind = rows.filter(F.col("ts").isNotNull()), None
+        else:
+            ahead, behind = rows.filter(F.col("ts") > mark), rows.filter(F.col("ts") <= mark)
+        side = rows.filter(F.col("ts").isNull()).withColumn("reason", F.lit(UNTIMED))
+        if behind is not None:
+            ids = behind.withColumn("_row", F.monotonically_increasing_id())
+            ids = stored(ids, "behind")  # a row number must not change between its two uses
+            fresh = stored(history.lacks(ids, number), "behind-fresh")
+            in_time = F.col("ts") > F.lit(mark - allowed_lateness)
+            ahead = ahead.unionByName(fresh.filter(in_time).drop("_row"))
+            seen = ids.join(fresh.select("_row"), "_row", "left_anti").withColumn("reason", F.lit(KNOWN))
+            side = side.unionByName(seen.drop("_row")).unionByName(fresh.filter(~in_time).withColumn("reason", F.lit(LATE)).drop("_row"))
+        history.write(ahead, number)
+        write_slice(side.withColumn("batch_id", F.lit(number)), f"{root}/side")
+        last = history.rows().filter(F.col("batch_id") == number).agg(F.max("ts")).first()[0]
+        last = last if mark is None else mark if last is None else max(mark, last)
+        # Written last: a batch that died before it is simply run again.
+        marks = spark.createDataFrame([(last, number)], "mark long, batch_id int")
+        write_slice(marks, f"{root}/marks")
+
+    run_available(stream, checkpoint, each)
+
+
+def _committed_mark(spark: SparkSession, root: str, number: int) -> int | None:
+    if not path_exists(spark, f"{root}/marks"):
+        return None
+    marks = spark.read.schema("mark long, batch_id int").parquet(f"{root}/marks")
+    return marks.filter(F.col("batch_id") < number).agg(F.max("mark")).first()[0]
+
+
+def released_rows(spark: SparkSession, root: str) -> DataFrame:
+    """What ``ingest_in_order`` took, with the number of the micro-batch."""
+    return spark.read.parquet(f"{root}/history").drop(KEY_COLUMN)
+
+
+def side_rows(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """What it did not take, with ``reason`` and the number of the micro-batch."""
+    whole = T.StructType([*schema.fields, T.StructField("reason", T.StringType()), T.StructField("batch_id", T.IntegerType())])
+    return spark.read.schema(whole).parquet(f"{root}/side")
+
+
 def with_event_time(stream: DataFrame, delay: str) -> DataFrame:
     """Add ``event_time`` with a watermark; later operators drop rows that come after it."""
     return stream.withColumn("event_time", F.timestamp_seconds("ts")).withWatermark("event_time", delay)
@@ -111,15 +178,44 @@ def windowed_activity(stream: DataFrame, days: int, delay: str = "1 day") -> Dat
     )
 
 
-SEQUENCE_STATE = "ts array<bigint>, tie array<bigint>, item array<bigint>"
-SEQUENCE_OUTPUT = "user_id bigint, sequence array<bigint>, length int"
+SEQUENCE_STATE = T.StructType([T.StructField(c, T.LongType()) for c in ("ts", "tie", "item_id")])
+SEQUENCE_OUTPUT = T.StructType(
+    [T.StructField("user_id", T.LongType()), T.StructField("sequence", T.ArrayType(T.LongType())), T.StructField("length", T.IntegerType())]
+)
+# Fixed value: the state store that typed state with an expiry needs.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class LatestItems(StatefulProcessor):
+    """The last ``n`` rows of a user as list state. A user of whom nothing has come for
+    ``idle_ms`` is forgotten by the state store itself."""
 
+    def __init__(self, n: int, idle_ms: int | None):
+        self.n, self.idle_ms = n, idle_ms
 
-def latest_sequences(stream: DataFrame, n: int = 50) -> DataFrame:
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.rows = handle.getListState("rows", SEQUENCE_STATE, self.idle_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        columns = SEQUENCE_STATE.names
+        kept = pd.DataFrame([tuple(r) for r in self.rows.get()], columns=columns, dtype="int64")
+        for frame in rows:
+            kept = pd.concat([kept, frame[columns]]).sort_values(["ts", "tie"]).tail(self.n)
+        # All rows of the user are written anew, so that none of them expires before another.
+        self.rows.put([tuple(int(v) for v in row) for row in kept.itertuples(index=False)])
+        yield pd.DataFrame({"user_id": [key[0]], "sequence": [kept["item_id"].tolist()], "length": [len(kept)]})
+
+    def close(self) -> None:
+        pass
+
+
+def latest_sequences(stream: DataFrame, n: int = 50, idle_ms: int | None = None) -> DataFrame:
     """(user_id, sequence, length): each user's last ``n`` items, kept as state.
 
     Needs columns user_id, item_id, ts, tie. Every input batch keeps the last ``n`` rows
     per user before the shuffle, so a hot user reaches the stateful task thinned out.
+    With ``idle_ms`` the state of a user expires that many milliseconds after the last row
+    came. Run it with ``state_store=ROCKSDB``.
     """
     rows = stream.select("user_id", "item_id", "ts", "tie")
 
@@ -127,20 +223,10 @@ def latest_sequences(stream: DataFrame, n: int = 50) -> DataFrame:
         for frame in frames:
             yield frame.sort_values(["ts", "tie"]).groupby("user_id").tail(n)
 
-    def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = pd.DataFrame(dict(zip(("ts", "tie", "item_id"), state.get))) if state.exists else None
-        for frame in frames:
-            fresh = frame[["ts", "tie", "item_id"]]
-            kept = fresh if kept is None else pd.concat([kept, fresh])
-            kept = kept.sort_values(["ts", "tie"]).tail(n)
-        columns = [[int(v) for v in kept[c]] for c in ("ts", "tie", "item_id")]
-        state.update(tuple(columns))
-        yield pd.DataFrame({"user_id": [key[0]], "sequence": [columns[2]], "length": [len(columns[2])]})
-
     return (
         rows.mapInPandas(thin, rows.schema)
         .groupBy("user_id")
-        .applyInPandasWithState(fold, SEQUENCE_OUTPUT, SEQUENCE_STATE, "update", GroupStateTimeout.NoTimeout)
+        .transformWithStateInPandas(LatestItems(n, idle_ms), SEQUENCE_OUTPUT, "Update", "ProcessingTime" if idle_ms else "None")
     )
 
 
