@@ -43,13 +43,24 @@ def successors(seconds: DataFrame, width: int) -> DataFrame:
     return in_day.join(F.broadcast(after), "day").select(F.col("of").alias("ts"), F.coalesce("next", "after").alias("next"))
 
 
+def _jumped(chain: DataFrame, jump: DataFrame, ranks: int) -> DataFrame:
+    """The slices that lie ``ranks`` behind those of ``chain``."""
+    return chain.join(jump, "ts").select(F.col("next").alias("ts"), (F.col("rank") + F.lit(ranks)).alias("rank")).filter("ts is not null")
+
+
+def _composed(jump: DataFrame) -> DataFrame:
+    """Twice as far as ``jump``; times whose way ends before are left out."""
+    further = jump.select(F.col("ts").alias("next"), F.col("next").alias("further"))
+    return jump.filter("next is not null").join(further, "next").select("ts", F.col("further").alias("next"))
+
+
 def slice_chain(df: DataFrame, days: int) -> DataFrame:
     """(batch_id, slice_start, slice_end) of every slice of the table.
 
     A slice starts at the first row at or after the previous end, so starts depend on
     the data and a fixed-width window is wrong. The table of successors is composed with
-    itself: the slices known so far jump by as many at once, and each step doubles them. The
-    number of jobs grows with the logarithm of the number of slices.
+    itself: the slices known so far jump by as many at once, which doubles them. The number
+    of jobs grows with the logarithm of the number of slices.
     """
     width = days * DAY_SECONDS
     seconds = stored(df.select("ts").filter(F.col("ts").isNotNull()).distinct(), "seconds")
@@ -58,14 +69,15 @@ def slice_chain(df: DataFrame, days: int) -> DataFrame:
     first = seconds.agg(F.min("ts").alias("ts"), F.lit(0).cast("long").alias("rank")).filter("ts is not null")
     starts = jump.select(F.col("next").alias("ts")).filter("ts is not null").unionByName(first.select("ts")).distinct()
     jump = stored(jump.join(starts, "ts", "left_semi"), "successors")
-    chain, step, known = stored(first, "chain"), 1, 1
-    while known == step:  # the last step found a slice for every one it started from
-        ahead = chain.join(jump, "ts").select(F.col("next").alias("ts"), (F.col("rank") + F.lit(step)).alias("rank")).filter("ts is not null")
-        chain = stored(chain.unionByName(ahead), "chain")
-        step, known = 2 * step, chain.count()
-        if known == step:
-            further = jump.select(F.col("ts").alias("next"), F.col("next").alias("further"))
-            jump = stored(jump.filter("next is not null").join(further, "next").select("ts", F.col("further").alias("next")), "successors")
+    # Two doublings a round, so that few jobs are run.
+    chain, size = stored(first, "chain"), 1
+    while True:
+        twice = _composed(jump)
+        ahead = chain.unionByName(_jumped(chain, jump, size))
+        chain, size = stored(ahead.unionByName(_jumped(ahead, twice, 2 * size)), "chain"), 4 * size
+        if chain.count() < size:
+            break
+        jump = stored(_composed(twice), "successors")
     return chain.select((F.col("rank") + 1).cast("int").alias("batch_id"), F.col("ts").alias("slice_start"), (F.col("ts") + F.lit(width)).alias("slice_end"))
 
 

@@ -233,13 +233,24 @@ DIFF_SQL = (
     coalesce(ts, -1) as ts, real_ts from holed c
     where not exists (select 1 from holed p where p.real_ts < {LINE_CUT}
       and p.user_id is not distinct from c.user_id and p.item_id is not distinct from c.item_id
-      and p.ts is not distinct from c.ts)""",
+      and p.ts is not distinct from c.ts)"""
 )
+
+
+@query("snapshot_diff", DIFF_SQL)
 def snapshot_diff(t: Tables) -> DataFrame:
     rows = _holed(t)
     return delta.snapshot_diff(rows, rows.filter(F.col("real_ts") < LINE_CUT)).na.fill(-1, ["user_id", "ts"])
 
 
+@query("bucketed_diff", DIFF_SQL)
+def bucketed_diff(t: Tables) -> DataFrame:
+    rows = _holed(t)
+    history = BucketedHistory(t.spark, work_path(t.spark, "bucketed"), rows.schema, buckets=t.spark.sparkContext.defaultParallelism)
+    history.write(rows.filter(F.col("real_ts") < LINE_CUT), 1)
+    return history.lacks(rows).na.fill(-1, ["user_id", "ts"])
+
+
 HISTORY_CUT = LINE_CUT + 15 * 86_400
 
 
@@ -337,6 +348,13 @@ def validate_triple(t: Tables) -> DataFrame:
     return quality.validate(_dirty(t), KEY)
 
 
+@query("validate_on_write", _validate_sql("user_id, item_id, ts", "user_id+item_id+ts"))
+def validate_on_write(t: Tables) -> DataFrame:
+    """The same report from the job that stores the batch."""
+    watched = quality.WatchedBatch(_dirty(t), KEY)
+    return watched.report(stored(watched.rows, "watched"))
+
+
 @query("validate_pair", _validate_sql("user_id, item_id", "user_id+item_id"))
 def validate_pair(t: Tables) -> DataFrame:
     return quality.validate(_dirty(t), quality.PAIR_KEY)

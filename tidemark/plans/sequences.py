@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.config import SequenceConfig
 from tidemark.operators import evaluation, filters, recommend, sequences, slices, split, transitions
+from tidemark.operators.upkeep import SequenceStore
 from tidemark.plans.registry import Tables, query
 from tidemark.plans.rows import EVENT_CUT, LINE_CUT, SLICE_DAYS
 from tidemark.session import stored, work_path
@@ -16,9 +17,10 @@ from tidemark.sources.tables import EVENT_ORDER
 CFG = SequenceConfig(max_len=20)
 TOP = 10
 
-POSITIVE_SQL = """
+VOCAB_SQL = "vocab as (select item_id, row_number() over (order by item_id) as idx from (select distinct item_id from liked))"
+POSITIVE_SQL = f"""
 , liked as (select * from ev where rating >= 3.5),
-vocab as (select item_id, row_number() over (order by item_id) as idx from (select distinct item_id from liked)),
+{VOCAB_SQL},
 tail as (
   select * from (select *, row_number() over (partition by user_id order by ts desc, tie desc) as rn,
     count(*) over (partition by user_id) as n from liked) where rn <= 20 and n >= 5)
@@ -115,6 +117,30 @@ def masked_sequences(t: Tables) -> DataFrame:
     return masked(t)
 
 
+# Three batches of ten days; an item's number follows from the batch that brought it.
+CYCLE_DAYS = 10
+CYCLE_VOCAB_SQL = f"""chain(batch_id, slice_start) as (
+  select cast(1 as bigint), min(ts) from ev
+  union all
+  select batch_id + 1, (select min(e.ts) from ev e where e.ts >= slice_start + {CYCLE_DAYS} * 86400)
+  from chain where slice_start is not null),
+brought as (
+  select item_id, min(batch_id) as first from liked join chain on ts >= slice_start and ts < slice_start + {CYCLE_DAYS} * 86400 group by item_id),
+vocab as (select item_id, row_number() over (order by first, item_id) as idx from brought)"""
+
+
+@query("cycle_sequences", MASKED_SQL.replace(VOCAB_SQL, CYCLE_VOCAB_SQL) + BUILT_TEXT_SQL)
+def cycle_sequences(t: Tables) -> DataFrame:
+    """Sequences carried from batch to batch; the vocabulary only appends."""
+    path = work_path(t.spark, "cycle-batches")
+    files.write_slice(slices.assign_slices(t.events, CYCLE_DAYS), path)
+    batches = t.spark.read.parquet(path)
+    store = SequenceStore.of(t.events, work_path(t.spark, "cycle-sequences"), EVENT_ORDER, CFG, buckets=t.spark.sparkContext.defaultParallelism)
+    for row in batches.select("batch_id").distinct().orderBy("batch_id").collect():  # one row a slice
+        store.update(batches.filter(F.col("batch_id") == row.batch_id), row.batch_id)
+    return store.sequences()
+
+
 @query("seq_json_roundtrip", MASKED_SQL + BUILT_TEXT_SQL)
 def seq_json_roundtrip(t: Tables) -> DataFrame:
     path = work_path(t.spark, "sequences")
