@@ -21,7 +21,6 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -29,10 +28,10 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.llm.common import packed, prepared, unpacked, utf8
+from tidemark.llm.common import packed, prepared, spread, unpacked, utf8
 
 # Bytes of text after which a bundle is closed. Its words and numbers are in memory at once.
-BUNDLE_BYTES = 8 << 20
+BUNDLE_BYTES = 4 << 20
 _LONG = 64
 
 
@@ -108,12 +107,6 @@ _LEADS = np.zeros(256, bool)  # bytes with which their UTF-8 forms begin
 _LEADS[sorted({c.encode()[0] for c in _RARE})] = True
 
 
-def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Places start, start + 1, ... of each run, one run after the other."""
-    first = np.cumsum(counts) - counts
-    return np.arange(int(counts.sum())) + np.repeat(starts - first, counts)
-
-
 class Words:
     """Pre-tokens of the texts of a bundle: the distinct ones, and each text as their numbers.
 
@@ -152,9 +145,9 @@ class Words:
         order = np.concatenate([np.flatnonzero(~whole), np.flatnonzero(whole)])
         first = np.zeros(len(texts), np.int64)
         first[order] = np.cumsum(sizes[order]) - sizes[order]
-        codes = codes[_spread(first, sizes)]  # pieces of all texts in order
+        codes = codes[spread(first, sizes)]  # pieces of all texts in order
         del pieces, cut, data, made
-        self.numbers = flat[_spread((np.cumsum(counts) - counts)[codes], counts[codes])]
+        self.numbers = flat[spread((np.cumsum(counts) - counts)[codes], counts[codes])]
         self.ends = np.concatenate([[0], np.cumsum(counts[codes])])[np.cumsum(sizes)]
 
     def packed(self, first: int, stop: int) -> list[bytes]:
@@ -250,19 +243,22 @@ def _encoded(ranks):
     return run
 
 
-def _reassembled(texts: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+def _reassembled(texts: pa.Table, words: pa.Table) -> pa.Table:
     """Texts of one bundle with their ids, in order of position."""
-    none = [np.empty(0, np.int32)]
-    numbers, counts, ids = (np.concatenate([*map(unpacked, words[c])] or none) for c in ("numbers", "counts", "ids"))
+
+    def whole(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+        parts = [unpacked(x.as_py()) for x in column]
+        return np.concatenate([np.empty(0, np.int32), *parts]), np.array([0, *map(len, parts)])
+
+    (numbers, _), (counts, _), (ids, _) = (whole(words[c]) for c in ("numbers", "counts", "ids"))
     starts, sizes = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
     starts[numbers], sizes[numbers] = np.cumsum(counts, dtype=np.int64) - counts, counts
-    out = []
-    for packed in texts["packed"]:
-        row = unpacked(packed)
-        if len(row) and (row.max() >= len(sizes) or not sizes[row].all()):
-            raise RuntimeError("words of a bundle are missing: the input's rows came in other partitions when read again")
-        out.append(ids[_spread(starts[row], sizes[row])])
-    return pd.DataFrame({"doc_id": texts["doc_id"].astype("Int64"), "ids": out})
+    held, edges = whole(texts["packed"])
+    if len(held) and (held.max() >= len(sizes) or not sizes[held].all()):
+        raise RuntimeError("words of a bundle are missing: the input's rows came in other partitions when read again")
+    ends = np.append(0, np.cumsum(sizes[held]))[np.cumsum(edges)]
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids[spread(starts[held], sizes[held])], pa.int32()))
+    return pa.table({"doc_id": texts["doc_id"], "ids": lists})
 
 
 def encode(docs: DataFrame, path: str, pattern: str, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
@@ -278,14 +274,7 @@ def encode(docs: DataFrame, path: str, pattern: str, bundle_bytes: int = BUNDLE_
     words = rows.mapInArrow(_bundles(pattern, bundle_bytes, parts, "words"), _BUNDLED).select("bundle", "seal", "part", "packed", "sizes", "words")
     encoded = words.repartition("part").mapInArrow(_encoded(ranks), "bundle long, seal long, numbers binary, counts binary, ids binary")
     texts = rows.mapInArrow(_bundles(pattern, bundle_bytes, parts, "texts"), _BUNDLED).select("bundle", "seal", "doc_id", "packed")
-    return texts.groupBy("bundle", "seal").cogroup(encoded.groupBy("bundle", "seal")).applyInPandas(_reassembled, "doc_id long, ids array<int>")
-
-
-def id_lists(column: pa.ListArray) -> Iterator[list[int] | None]:
-    """The lists of a column; much faster than asking Arrow for each number."""
-    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
-    for place, known in enumerate(column.is_valid().to_pylist()):
-        yield values[ends[place] : ends[place + 1]].tolist() if known else None
+    return texts.groupBy("bundle", "seal").cogroup(encoded.groupBy("bundle", "seal")).applyInArrow(_reassembled, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, column: str = "ids") -> DataFrame:
@@ -294,13 +283,28 @@ def decode(encoded: DataFrame, path: str, column: str = "ids") -> DataFrame:
     Null ids give null bytes. An id that is not in the table is an error.
     """
     spark = prepared(encoded.sparkSession)
-    tokens = spark.sparkContext.broadcast({i: token for token, i in read_ranks(spark, path).items()})
+    tokens = {i: token for token, i in read_ranks(spark, path).items()}
+    sizes = np.zeros(max(tokens) + 1, np.int64)
+    sizes[list(tokens)] = [len(t) for t in tokens.values()]
+    shared = spark.sparkContext.broadcast((b"".join(tokens[i] for i in sorted(tokens)), sizes))
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = tokens.value.__getitem__
+        content, sizes = np.frombuffer(shared.value[0], np.uint8), shared.value[1]
+        starts = np.cumsum(sizes) - sizes
         for batch in batches:
-            made = [None if ids is None else b"".join(map(token, ids)) for ids in id_lists(batch[column])]
-            yield pa.record_batch([*batch.columns, pa.array(made, pa.binary())], [*batch.schema.names, "decoded"])
+            lists = batch[column]
+            ids = lists.flatten()
+            if ids.null_count:
+                raise ValueError("a list of ids holds a null")
+            ids = ids.to_numpy()
+            if len(ids) and (ids.min() < 0 or ids.max() >= len(sizes) or not sizes[ids].all()):
+                raise ValueError("an id is not in the token table")
+            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            ends = np.append(0, np.cumsum(sizes[ids]))[np.append(0, np.cumsum(counts))]
+            data = content[spread(starts[ids], sizes[ids])].tobytes()
+            known = lists.is_valid().to_pylist()
+            made = pa.array([data[a:b] if k else None for a, b, k in zip(ends.tolist(), ends[1:].tolist(), known)], pa.binary())
+            yield pa.record_batch([*batch.columns, made], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)
