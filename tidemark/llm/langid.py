@@ -214,22 +214,44 @@ def train(docs: DataFrame, per_language: int = 400, places: int = 4, **options)
     return fit([r[2].encode() for r in rows], [r[1] for r in rows], **options) if rows else None
 
 
+def _judged(batch: pa.RecordBatch, net: Network | None) -> tuple[np.ndarray, np.ndarray]:
+    """Name and score of the best language of every row; unknown and 0 without a letter."""
+    letters = batch["has_letter__"].to_numpy(zero_copy_only=False)
+    names, scores = np.full(batch.num_rows, UNKNOWN, object), np.zeros(batch.num_rows)
+    if net is not None and batch.num_rows:
+        found = pooled(net, *utf8(batch["text"]))
+        best = found.argmax(axis=1)
+        names = np.where(letters, np.array(net.labels, object)[best], UNKNOWN)
+        scores = np.where(letters, np.clip(found[np.arange(len(best)), best], 0, 1).round(6), 0.0)
+    return names, scores
+
+
+def _lettered(docs: DataFrame) -> DataFrame:
+    prepared(docs.sparkSession)
+    return docs.withColumn("has_letter__", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+
+
 def identify(docs: DataFrame, net: Network | None, label: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` with a predicted language and the pooled probability of it, in one pass."""
-    prepared(docs.sparkSession)
-    lettered = docs.withColumn("has_letter__", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     schema = T.StructType([*docs.schema.fields, T.StructField(label, T.StringType()), T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            letters = batch["has_letter__"].to_numpy(zero_copy_only=False)
-            names, scores = np.full(batch.num_rows, UNKNOWN, object), np.zeros(batch.num_rows)
-            if net is not None and batch.num_rows:
-                found = pooled(net, *utf8(batch["text"]))
-                best = found.argmax(axis=1)
-                names = np.where(letters, np.array(net.labels, object)[best], UNKNOWN)
-                scores = np.where(letters, np.clip(found[np.arange(len(best)), best], 0, 1).round(6), 0.0)
+            names, scores = _judged(batch, net)
             rest = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.record_batch([*rest, pa.array(names, pa.string()), pa.array(scores)], [*batch.schema.names[:-1], label, score])
 
-    return lettered.mapInArrow(run, schema)
+    return _lettered(docs).mapInArrow(run, schema)
+
+
+def recognised(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
+    """The rows of ``docs`` with a language of at least ``least`` probability; the others do
+    not leave the worker."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, scores = _judged(batch, net)
+            keep = pa.array((names != UNKNOWN) & (scores >= least))
+            yield batch.filter(keep).select(range(batch.num_columns - 1))
+
+    return _lettered(docs).mapInArrow(run, docs.schema)
