@@ -14,10 +14,11 @@ MIN_SCORE = 0.4
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose text has letters and a recognised language."""
-    named = langid.identify(docs, langid.train(docs), label="lang_pred__", score="lang_score__")
-    kept = named.where((F.col("lang_pred__") != langid.UNKNOWN) & (F.col("lang_score__") >= MIN_SCORE))
-    return kept.select(*docs.columns)
+    """Keep documents whose text has letters and a recognised language.
+
+    Null and empty texts go. Repeated rows and rows without an id are judged like any other.
+    """
+    return langid.recognised(docs, langid.train(docs), MIN_SCORE)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
