@@ -14,7 +14,7 @@ from itertools import chain, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm.common import prepared
 from tidemark.llm.components import components
@@ -48,14 +48,20 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp) of every row; fp holds the 64 bits as a signed long."""
-    prepared(docs.sparkSession)
+    return _printed(docs.select(F.col("doc_id").cast("long"), "text"), shingle)
+
+
+def _printed(rows: DataFrame, shingle: int) -> DataFrame:
+    """``rows`` with ``fp`` in place of ``text``, their last column."""
+    prepared(rows.sparkSession)
+    kept = rows.drop("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch["text"]), np.uint64, batch.num_rows)
-            yield pa.record_batch([batch["doc_id"].cast(pa.int64()), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.record_batch([*batch.columns[:-1], pa.array(found.view(np.int64))], [*batch.schema.names[:-1], "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("fp", T.LongType())]))
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -118,28 +124,41 @@ def _flips(masks: list[int], near: int, far: int) -> Column:
     return options
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs``.
+def _roots(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, root): the component of every fingerprint of ``rows``.
 
     Copies meet in one fingerprint before any pair is looked for, so a group of copies of
-    any size is one node. component_id is the smallest doc_id reachable over links.
+    any size is one node.
     """
+    nodes = rows.select("fp").distinct()
+    found = components(links(nodes, radius)).withColumnRenamed("node", "fp")
+    return nodes.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+    """(doc_id, fp, component_id) of every row of ``docs``; component_id is the smallest
+    doc_id reachable over links."""
     rows = stored(fingerprints(docs, shingle), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(nodes.select("fp"), radius))
-    grouped = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    grouped = nodes.join(_roots(rows, radius), "fp")
     least = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
     label = grouped.join(least, "root").select("fp", "component_id")
     return rows.join(label, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, one for each component.
+    """One row of ``docs`` for each component of near copies, whatever the layout.
 
-    Repeated rows of one id leave one row. Rows without an id all stay, as no decision
-    can name one of them.
+    That of the smallest doc_id stays; a row without an id only if its component has none
+    with one. Different texts of one id are rows of their own, of which the one with the smaller
+    digest goes first, and so are texts without an id. Of rows with equal id and text the
+    first in order of all columns stays. Null and empty texts are copies of each other.
     """
-    named = docs.where("doc_id is not null")
-    keep = near_duplicates(named, shingle, radius).where("doc_id = component_id").select("doc_id").distinct()
-    kept = named.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return kept.union(docs.where("doc_id is null"))
+    keyed = docs.withColumns({"id__": F.col("doc_id").cast("long"), "digest__": F.md5(F.coalesce("text", F.lit("")))})
+    rows = stored(_printed(keyed.select("id__", "digest__", "text"), shingle), "fingerprints")
+    place = F.struct(F.col("id__").isNull().alias("bare"), F.col("id__"), F.col("digest__"))
+    first = rows.join(_roots(rows, radius), "fp").groupBy("root").agg(F.min(place).alias("first")).select("first.*")
+    named = keyed.where("id__ is not null").join(first.where("not bare").select("id__", "digest__"), ["id__", "digest__"], "left_semi")
+    bare = keyed.where("id__ is null").join(first.where("bare").select("digest__"), "digest__", "left_semi").select(*keyed.columns)
+    kept = named.select(*keyed.columns).unionByName(bare)
+    return kept.groupBy("id__", "digest__").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
