@@ -31,7 +31,7 @@ def judged(url, day, entries):
     if not host:
         return (False, "", None)
     labels, parts = host.split("."), [p for p in path.split("/") if p]
-    values = {".".join(labels[i:]) for i in range(len(labels))} | {"/".join([host, *parts[:n]]) for n in range(1, min(len(parts), 8) + 1)}
+    values = {".".join(labels[i:]) for i in range(len(labels))} | {"/".join([host, *parts[:n]]) for n in range(1, len(parts) + 1)}
     hits = [e for e in active(entries, day) if e[0] in values]
     allowed = max([len(v) for v, _, allow in hits if allow], default=-1)
     kept = [(v, n) for v, n, allow in hits if not allow and len(v) > allowed]

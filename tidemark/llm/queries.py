@@ -157,7 +157,7 @@ labels as (select page_id, day, host, path, string_split(host, '.') as l, string
 wanted as (
   select page_id, day, array_to_string(l[unnest(range(1, len(l) + 1)):], '.') as value from labels where host is not null
   union
-  select page_id, day, host || '/' || array_to_string(p[1:unnest(range(1, least(len(p), 8) + 1))], '/') from labels where host is not null and path <> ''),
+  select page_id, day, host || '/' || array_to_string(p[1:unnest(range(1, len(p) + 1))], '/') from labels where host is not null and path <> ''),
 hits as (
   select page_id, w.value, list, allow, length(w.value) as size,
          max(case when allow then length(w.value) end) over (partition by page_id) as allowed
