@@ -1,4 +1,8 @@
-"""The corpus pipeline: each stage works on all rows that the one before it kept."""
+"""The corpus pipeline: each stage works on all rows that the one before it kept.
+
+An empty table gives empty results at every stage. Other columns are carried along up to the
+last stage and may have any name.
+"""
 
 from __future__ import annotations
 
@@ -22,24 +26,39 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies."""
+    """Keep one document of each group of near copies.
+
+    The smallest id stays; rows without an id only where no copy has one. Null and empty
+    texts are copies of each other, repeated rows leave one, different texts of one id are
+    judged each for itself.
+    """
     return simhash.one_of_each_group(docs, shingle=3, radius=2)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that hold no benchmark item."""
+    """Keep documents that hold no benchmark item.
+
+    Null and empty texts hold none and stay; repeated rows and rows without an id are judged
+    like any other.
+    """
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep all documents, with secrets in their texts replaced."""
+    """Keep all documents, with secrets in their texts replaced.
+
+    Null texts stay null; every repeated row and every row without an id is rewritten.
+    """
     ledger = secrets.Ledger.create(spark)
     ledger.ingest(docs)
     return secrets.redact(docs, ledger)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids, n_bytes): the token ids of every text and the bytes that they decode to."""
+    """(doc_id, ids, n_bytes): the token ids of every text and the bytes that they decode to.
+
+    Null and empty texts have no ids and no bytes; each row gives one, with or without an id.
+    """
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
     return bpe.decode(encoded, path).select("doc_id", "ids", F.length("decoded").cast("long").alias("n_bytes"))
