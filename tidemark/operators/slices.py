@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.columns import DAY_SECONDS, calendar_day
-from tidemark.session import stored
+from tidemark.session import discard, stored
 
 
 def after_watermark(df: DataFrame, high_water_mark: int | None) -> DataFrame:
@@ -64,20 +64,23 @@ def slice_chain(df: DataFrame, days: int) -> DataFrame:
     """
     width = days * DAY_SECONDS
     seconds = stored(df.select("ts").filter(F.col("ts").isNotNull()).distinct(), "seconds")
-    jump = stored(successors(seconds, width), "successors")
+    whole = stored(successors(seconds, width), "successors")
     # Only a time that something leads to can start a slice, except for the first.
     first = seconds.agg(F.min("ts").alias("ts"), F.lit(0).cast("long").alias("rank")).filter("ts is not null")
-    starts = jump.select(F.col("next").alias("ts")).filter("ts is not null").unionByName(first.select("ts")).distinct()
-    jump = stored(jump.join(starts, "ts", "left_semi"), "successors")
+    starts = whole.select(F.col("next").alias("ts")).filter("ts is not null").unionByName(first.select("ts")).distinct()
+    jump = stored(whole.join(starts, "ts", "left_semi"), "successors")
     # Two doublings a round, so that few jobs are run.
     chain, size = stored(first, "chain"), 1
     while True:
         twice = _composed(jump)
         ahead = chain.unionByName(_jumped(chain, jump, size))
-        chain, size = stored(ahead.unionByName(_jumped(ahead, twice, 2 * size)), "chain"), 4 * size
+        before, chain, size = chain, stored(ahead.unionByName(_jumped(ahead, twice, 2 * size)), "chain"), 4 * size
+        discard(before)
         if chain.count() < size:
             break
-        jump = stored(_composed(twice), "successors")
+        shorter, jump = jump, stored(_composed(twice), "successors")
+        discard(shorter)
+    discard(seconds, whole, jump)
     return chain.select((F.col("rank") + 1).cast("int").alias("batch_id"), F.col("ts").alias("slice_start"), (F.col("ts") + F.lit(width)).alias("slice_end"))
 
 

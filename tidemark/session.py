@@ -63,3 +63,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a table one job writes and reads back."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the work tables that ``frames`` read, once nothing will read them any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        shared = checkpoint_dir(spark).removeprefix("file://").rstrip("/") + "/"
+        for folder in {path.rpartition("/")[0] for path in frame.inputFiles()}:
+            if shared in folder:
+                place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+                place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -14,6 +16,9 @@ from tidemark.sources.files import path_exists, write_slice
 from tidemark.sources.history import KEY_COLUMN, BucketedHistory
 from tidemark.sources.schemas import KEY
 
+# What runs on executors travels whole, so these need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def read_slices(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = 1) -> DataFrame:
     """A stream over parquet files, ``files_per_batch`` of them per micro-batch."""
