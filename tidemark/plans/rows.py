@@ -251,6 +251,15 @@ def bucketed_diff(t: Tables) -> DataFrame:
     return history.lacks(rows).na.fill(-1, ["user_id", "ts"])
 
 
+@query("delta_sink", DIFF_SQL)
+def delta_sink(t: Tables) -> DataFrame:
+    """The delta as the file that a cycle leaves; a second run replaces it."""
+    rows, path = _holed(t), work_path(t.spark, "delta-sink")
+    files.write_delta(rows, path)
+    files.write_delta(delta.snapshot_diff(rows, rows.filter(F.col("real_ts") < LINE_CUT)), path)
+    return t.spark.read.schema(rows.schema).parquet(path).na.fill(-1, ["user_id", "ts"])
+
+
 HISTORY_CUT = LINE_CUT + 15 * 86_400
 
 
@@ -287,11 +296,11 @@ def delta_stats(t: Tables) -> DataFrame:
     return delta.delta_stats(rows, rows.filter(F.col("real_ts") < LINE_CUT))
 
 
-@query(
-    "accumulate",
-    f"""select user_id, item_id, rating, ts from ln where ts < {LINE_CUT}
-        union all select user_id, item_id, rating, ts from ln where ts >= {LINE_CUT - 30 * 86400}""",
-)
+ACCUMULATE_SQL = f"""select user_id, item_id, rating, ts from ln where ts < {LINE_CUT}
+        union all select user_id, item_id, rating, ts from ln where ts >= {LINE_CUT - 30 * 86400}"""
+
+
+@query("accumulate", ACCUMULATE_SQL)
 def accumulate(t: Tables) -> DataFrame:
     rows = t.lines.select("user_id", "item_id", "rating", "ts")
     return delta.accumulate(
@@ -299,6 +308,29 @@ def accumulate(t: Tables) -> DataFrame:
     )
 
 
+@query("append_history", ACCUMULATE_SQL)
+def append_history(t: Tables) -> DataFrame:
+    """The same from files that a second batch was appended to."""
+    rows, path = t.lines.select("user_id", "item_id", "rating", "ts"), work_path(t.spark, "append-history")
+    files.append_rows(rows.filter(F.col("ts") < LINE_CUT), path)
+    files.append_rows(rows.filter(F.col("ts") >= LINE_CUT - 30 * 86_400), path)
+    return files.read_interactions(t.spark, path)
+
+
+@query(
+    "slice_records",
+    CHAIN_SQL
+    + """select batch_id, 'events' as dataset_version, earliest_timestamp, latest_timestamp, num_interactions,
+    'slices/batch_id=' || batch_id as batch_path from meta""",
+)
+def slice_records(t: Tables) -> DataFrame:
+    """Records of all slices as their log has them; the time of writing is left out."""
+    path = work_path(t.spark, "slice-records")
+    records = files.with_ingestion_time(slices.slice_metadata(event_slices(t)), "events", "slices")
+    files.write_slice_metadata(records, path)
+    return t.spark.read.schema(records.schema).json(path).drop("ingestion_timestamp")
+
+
 # -- validation --------------------------------------------------------------------
 
 # Planted faults: text that is no number, blanks, a rating off the scale, copied keys.
