@@ -99,7 +99,8 @@ def test_encode_and_decode(spark, make_docs, odd_rows, library):
 def test_nulls_and_bad_ids(spark, make_docs):
     assert pieces.encode(make_docs([(1, "x")]).limit(0), PATH).count() == 0
     rows = spark.createDataFrame([(1, None), (2, []), (3, [1, 264, 2])], "doc_id long, ids array<int>")
-    assert {r.doc_id: r.decoded for r in pieces.decode(rows, PATH).collect()} == {1: None, 2: "", 3: "a"}
+    made = {r.doc_id: (r.decoded, r.bytes) for r in pieces.decode(rows, PATH, packed="bytes").collect()}
+    assert made == {1: (None, None), 2: ("", b""), 3: ("a", np.array([1, 264, 2], "<u4").tobytes())}
     for bad in ([40_000], [-1], [264, None]):
         with pytest.raises(Exception, match="vocabulary|null"):
             pieces.decode(spark.createDataFrame([(bad,)], "ids array<int>"), PATH).collect()

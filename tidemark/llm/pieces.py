@@ -31,7 +31,7 @@ from tidemark.llm.common import prepared, spread, utf8
 
 SPACE = "▁"
 # Bytes of text that are encoded at once; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 # Words of more symbols merge one pair at a time, which costs less than a round per rank.
 LONG_WORD = 4096
 _NONE = np.int32(2**31 - 1)
@@ -161,10 +161,10 @@ def merge_rounds(symbols: np.ndarray, starts: np.ndarray, vocabulary: Vocabulary
 
     ``starts`` has the place at which each word begins; no word is empty.
     """
-    place = np.arange(len(symbols))
-    word = np.zeros(len(symbols), np.int64)
+    place = np.arange(len(symbols), dtype=np.int32)
+    word = np.zeros(len(symbols), np.int32)
     word[starts[1:]] = 1
-    word = np.cumsum(word)
+    word = np.cumsum(word, dtype=np.int32)
     sizes = np.diff(np.append(starts, len(symbols)))
     done_symbols, done_places = [], []
 
@@ -218,7 +218,7 @@ def merge_rounds(symbols: np.ndarray, starts: np.ndarray, vocabulary: Vocabulary
         touched = np.flatnonzero(touched)
         piece[touched], rank[touched] = _pairs(symbols, word, vocabulary, touched)
     if not done_symbols:
-        return np.empty(0, np.int32), np.empty(0, np.int64)
+        return np.empty(0, np.int32), np.empty(0, np.int32)
     symbols, place = np.concatenate(done_symbols), np.concatenate(done_places)
     order = np.argsort(place, kind="stable")
     return symbols[order], place[order]
@@ -429,15 +429,17 @@ def _decode_runs(ids, starts, sizes, vocabulary) -> str:
     return "".join([*out, run.decode("utf-8", "each bad byte")])
 
 
-def decode(encoded: DataFrame, path: str, column: str = "ids") -> DataFrame:
-    """``encoded`` with a text column ``decoded``; null ids give a null text.
+def decode(encoded: DataFrame, path: str, column: str = "ids", packed: str | None = None) -> DataFrame:
+    """``encoded`` with a text column ``decoded``; null ids give a null text. ``packed`` names
+    one more column with the ids as bytes, for files of tokens (see ``little_endian``).
 
     Begin and end are invisible and the blank that encoding put in front goes. An id that
     the vocabulary lacks, or a null in a list, is an error.
     """
     spark = prepared(encoded.sparkSession)
     model = spark.sparkContext.broadcast(cloudpickle.dumps(read_model(spark, path)))
-    schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
+    more = [T.StructField("decoded", T.StringType()), *([T.StructField(packed, T.BinaryType())] if packed else [])]
+    schema = T.StructType([*encoded.schema.fields, *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = cloudpickle.loads(model.value)
@@ -452,7 +454,8 @@ def decode(encoded: DataFrame, path: str, column: str = "ids") -> DataFrame:
             lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
             texts = pa.array(decode_ids(ids, lengths, vocabulary), pa.string())
             texts = pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.string()))
-            yield pa.record_batch([*batch.columns, texts], [*batch.schema.names, "decoded"])
+            made = [texts, little_endian(lists)] if packed else [texts]
+            yield pa.record_batch([*batch.columns, *made], [*batch.schema.names, *[f.name for f in more]])
 
     return encoded.mapInArrow(run, schema)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, decontaminate, fim, langid, lm, merkle, pieces, secrets, simhash, suffix_dedup, topk, toxicity, url_filter
@@ -260,14 +259,9 @@ def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_sentence_pieces")
 def sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    found = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), path), path)
-
-    @F.arrow_udf("binary")
-    def packed_ids(ids: pa.Array) -> pa.Array:
-        return pieces.little_endian(ids)
-
+    found = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), path), path, packed="packed")
     return found.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(packed_ids("ids"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
 
