@@ -131,6 +131,18 @@ def _totals(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"bundle": rows["bundle"], "seal": rows["seal"], "part": rows["part"], "size": rows["size"], "totals": back})
 
 
+def _answered(hashed: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """The count of every n-gram from those of the distinct ones, which are in order of their hashes."""
+    order = np.argsort(hashed)
+    ordered = hashed[order]
+    rank = np.cumsum(np.append(False, ordered[1:] != ordered[:-1])[: len(hashed)])
+    if len(known) != (rank[-1] + 1 if len(rank) else 0):
+        raise RuntimeError("counts of a bundle are missing: the input's rows came in other partitions when read again")
+    out = np.empty(len(hashed), np.int64)
+    out[order] = known[rank]
+    return out
+
+
 def _scored(order: int, alpha: float, least: int):
     def run(texts: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -145,12 +157,8 @@ def _scored(order: int, alpha: float, least: int):
             for n in range(1, order + 1):
                 answer = totals[totals["size"] == n].sort_values("part")["totals"]
                 known = np.concatenate([np.empty(0, np.int64), *[unpacked(t, "<i8") for t in answer]])
-                hashed = grams.hashed(n)
-                keys = np.unique(hashed)
-                if len(keys) != len(known):
-                    raise RuntimeError("counts of a bundle are missing: the input's rows came in other partitions when read again")
                 count = np.zeros(len(grams.words), np.int64)
-                count[grams.whole(n)] = known[np.searchsorted(keys, hashed)]
+                count[grams.whole(n)] = _answered(grams.hashed(n), known)
                 counts.append(count)
             logs, open_words = _logs(counts, alpha, least)
             sums = np.add.reduceat(np.append(logs, 0.0), first[:-1])
