@@ -69,10 +69,12 @@ def ingest(
     order: Sequence[str],
     quarantine_path: str | None = None,
     buckets: int = 64,
+    keys: Sequence[str] = KEY,
 ) -> None:
     """Validate each micro-batch, keep what history lacks, append it as one slice.
 
-    Without ``quarantine_path`` an invalid row stops the job. Slices are overwritten by
+    ``keys`` tell rows apart, in the checks and in history. Without ``quarantine_path`` an
+    invalid row stops the job. Slices are overwritten by
     number and compared with earlier slices only, so a repeated micro-batch after a
     failure leaves the same table.
     """
@@ -83,12 +85,12 @@ def ingest(
         number = epoch + 1
         rows = batch.select(*columns)
         if quarantine_path is None:
-            quality.require_valid(quality.validate(rows))
+            quality.require_valid(quality.validate(rows, keys))
         else:
-            flagged = quality.flag_rows(rows, order)
+            flagged = quality.flag_rows(rows, order, keys)
             write_slice(quality.quarantined_rows(flagged).withColumn("batch_id", F.lit(number)), quarantine_path)
             rows = quality.good_rows(flagged)
-        history = BucketedHistory(spark, history_path, rows.schema, buckets=buckets)
+        history = BucketedHistory(spark, history_path, rows.schema, keys, buckets)
         history.write(history.lacks(rows, number), number)
 
     run_available(stream, checkpoint, each)
