@@ -1,8 +1,14 @@
 """What long jobs leave on disk or send on does not grow with their rounds."""
 
 import random
+from pathlib import Path
+
+import numpy as np
+from pyspark.sql import functions as F
+
 from tidemark.config import FactorConfig
-from tidemark.operators import factor
+from tidemark.operators import factor, inner_product
+from tidemark.session import checkpoint_dir
 
 
 def _ratings(spark, seed):
@@ -22,3 +28,19 @@ def test_every_iteration_lets_the_exchanges_before_it_go(spark, monkeypatch):
     monkeypatch.setattr(factor, "ALS", Watched)
     factor.fit_factors(_ratings(spark, 3), FactorConfig(rank=2, iterations=2))
     assert asked["checkpointInterval"] == 1 and spark.sparkContext.getCheckpointDir()
+
+
+def test_a_search_keeps_no_state_of_ended_rounds(spark):
+    rng = np.random.default_rng(6)
+    frame = lambda m: spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "id long, features array<float>")
+    shared = Path(checkpoint_dir(spark).removeprefix("file://"))
+    before = set(shared.iterdir())
+    found = inner_product.top_inner_products(
+        frame(rng.normal(size=(20, 4))), frame(rng.normal(size=(300, 4))), spark.createDataFrame([(1, 2)], "user long, item long"), 5, 16, 1
+    )
+    assert found.count() == 100
+    made = set(shared.iterdir()) - before
+    assert not [p for top in made for p in top.rglob("open=true/*.parquet")]
+    assert not [p for top in made if top.name.startswith("open-users") for p in top.rglob("*.parquet")]
+    ended = [str(p) for top in made for p in top.glob("open=false")]
+    assert ended and spark.read.parquet(*ended).filter(F.col("features").isNotNull()).isEmpty()
