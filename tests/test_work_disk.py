@@ -4,11 +4,13 @@ import random
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidemark.config import FactorConfig
 from tidemark.operators import factor, inner_product
 from tidemark.session import checkpoint_dir
+from tidemark.streaming import jobs
 
 
 def _ratings(spark, seed):
@@ -44,3 +46,22 @@ def test_a_search_keeps_no_state_of_ended_rounds(spark):
     assert not [p for top in made if top.name.startswith("open-users") for p in top.rglob("*.parquet")]
     ended = [str(p) for top in made for p in top.glob("open=false")]
     assert ended and spark.read.parquet(*ended).filter(F.col("features").isNotNull()).isEmpty()
+
+
+def test_a_task_sends_a_user_on_once(spark):
+    rng = random.Random(9)
+    rows = [(u, rng.randrange(50), rng.randrange(10**6), tie) for tie, u in enumerate(rng.choices(range(10), k=5000))]
+    frames = [pd.DataFrame(rows[at : at + 100], columns=["user_id", "item_id", "ts", "tie"]) for at in range(0, 5000, 100)]
+    best = sorted(sorted(rows, key=lambda r: (r[0], r[2], r[3])), key=lambda r: r[0])
+    want = [r for u in range(10) for r in [r for r in best if r[0] == u][-3:]]
+    for at_once in (jobs.THIN_ROWS, 150):
+        sent = pd.concat(list(jobs.thinned(3, at_once)(iter(frames))))
+        assert sorted(sent.itertuples(index=False, name=None)) == sorted(want)
+    # Users too many to be held go on in parts, none of their last rows is lost.
+    sent = list(jobs.thinned(3, 40)(iter(frames)))
+    assert len(sent) > 1 and set(want) <= {r for f in sent for r in f.itertuples(index=False, name=None)}
+    # Rows with nulls go through, and leave the others whole numbers.
+    holed = frames[0].astype(float)
+    holed.loc[5, "item_id"] = None
+    sent = list(jobs.thinned(3)(iter([frames[1], holed, frames[2]])))
+    assert len(sent) == 2 and sent[1]["ts"].dtype == "int64"

@@ -204,34 +204,59 @@ class LatestItems(StatefulProcessor):
         self.rows = handle.getListState("rows", SEQUENCE_STATE, self.idle_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        columns = SEQUENCE_STATE.names
-        kept = pd.DataFrame([tuple(r) for r in self.rows.get()], columns=columns, dtype="int64")
+        kept = [tuple(r) for r in self.rows.get()]
         for frame in rows:
-            kept = pd.concat([kept, frame[columns]]).sort_values(["ts", "tie"]).tail(self.n)
+            kept += frame[SEQUENCE_STATE.names].itertuples(index=False, name=None)
+            kept = [tuple(int(v) for v in row) for row in sorted(kept, key=lambda r: r[:2])[-self.n :]]
         # All rows of the user are written anew, so that none of them expires before another.
-        self.rows.put([tuple(int(v) for v in row) for row in kept.itertuples(index=False)])
-        yield pd.DataFrame({"user_id": [key[0]], "sequence": [kept["item_id"].tolist()], "length": [len(kept)]})
+        self.rows.put(kept)
+        yield pd.DataFrame({"user_id": [key[0]], "sequence": [[row[2] for row in kept]], "length": [len(kept)]})
 
     def close(self) -> None:
         pass
 
 
+# Rows a task gathers before it thins them out.
+THIN_ROWS = 200_000
+
+
+def thinned(n: int, at_once: int = THIN_ROWS) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The last ``n`` rows of every user of a task. Where the users are too many to be held,
+    a user may come again, each time with ``n`` rows at most."""
+
+    def latest(frames: list[pd.DataFrame]) -> pd.DataFrame:
+        return pd.concat(frames).sort_values(["ts", "tie"]).groupby("user_id").tail(n)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for frame in frames:
+            if frame.isna().any(axis=None):  # its numbers are floats, which the others shall not become
+                yield latest([frame])
+                continue
+            held, size = [*held, frame], size + len(frame)
+            if size >= at_once:
+                held = [latest(held)]
+                size = len(held[0])
+                if 2 * size >= at_once:
+                    yield held[0]
+                    held, size = [], 0
+        if held:
+            yield latest(held)
+
+    return run
+
+
 def latest_sequences(stream: DataFrame, n: int = 50, idle_ms: int | None = None) -> DataFrame:
     """(user_id, sequence, length): each user's last ``n`` items, kept as state.
 
-    Needs columns user_id, item_id, ts, tie. Every input batch keeps the last ``n`` rows
-    per user before the shuffle, so a hot user reaches the stateful task thinned out.
+    Needs columns user_id, item_id, ts, tie. Every task keeps the last ``n`` rows per user
+    before the shuffle, so what reaches the stateful tasks grows with users, not with rows.
     With ``idle_ms`` the state of a user expires that many milliseconds after the last row
     came. Run it with ``state_store=ROCKSDB``.
     """
     rows = stream.select("user_id", "item_id", "ts", "tie")
-
-    def thin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.sort_values(["ts", "tie"]).groupby("user_id").tail(n)
-
     return (
-        rows.mapInPandas(thin, rows.schema)
+        rows.mapInPandas(thinned(n), rows.schema)
         .groupBy("user_id")
         .transformWithStateInPandas(LatestItems(n, idle_ms), SEQUENCE_OUTPUT, "Update", "ProcessingTime" if idle_ms else "None")
     )
