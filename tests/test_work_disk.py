@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import FactorConfig
 from tidemark.operators import factor, inner_product
+from tidemark.plans import cycle
 from tidemark.session import checkpoint_dir
 from tidemark.streaming import jobs
 
@@ -48,6 +49,15 @@ def test_a_search_keeps_no_state_of_ended_rounds(spark):
     assert ended and spark.read.parquet(*ended).filter(F.col("features").isNotNull()).isEmpty()
 
 
+def test_predictions_meet_the_factors_once(spark):
+    rows = _ratings(spark, 4)
+    model = factor.fit_factors(rows, FactorConfig(rank=2, iterations=2))
+    predicted = cycle._predicted(model, rows, ["ts", "user_id"])
+    assert predicted.inputFiles() and predicted.columns == ["user_id", "rating", "est", "ts"]
+    want = {(r.user_id, r.ts): r.est for r in model.predict(rows).collect()}
+    assert {(r.user_id, r.ts): r.est for r in predicted.collect()} == want
+
+
 def test_a_task_sends_a_user_on_once(spark):
     rng = random.Random(9)
     rows = [(u, rng.randrange(50), rng.randrange(10**6), tie) for tie, u in enumerate(rng.choices(range(10), k=5000))]
