@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import suffix_dedup
@@ -108,3 +109,39 @@ def test_anchors_agree_inside_equal_stretches():
         assert np.diff(cut).max() <= suffix_dedup.WINDOW
         places.append([p for p in cut if edge <= p <= 600 - edge])
     assert places[0] == places[1]
+
+
+def test_strings_of_an_anchor_are_one_row():
+    content = prose(random.Random(3), 300)
+    cut = suffix_dedup.anchors(np.frombuffer(content.encode(), np.uint8)).tolist()
+    given = [{"pos": p, "back": p - q, "g": 1, "parts": parts} for parts in (1, 5) for q, p in zip(cut, cut[1:])]
+    kind = pa.list_(pa.struct([(f, pa.int64()) for f in ("pos", "back", "g", "parts")]))
+    batch = pa.record_batch([pa.array([7]), pa.array([content]), pa.array([given], kind)], ["key", "text", "listed"])
+    rows = pa.Table.from_batches(suffix_dedup._listed(LENGTH)(iter([batch]))).to_pylist()
+    whole = [r for r in rows if r["chosen"] is None]
+    assert 0 < len(whole) <= len(given) // 2 < sum(len(r["hashes"]) // 8 for r in whole) // 10
+    # Dealt out by hash, the same strings are there once each.
+    dealt = {r["first"] + s: h for r in rows if r["chosen"] for s, h in zip(np.frombuffer(r["chosen"], np.int32), np.frombuffer(r["hashes"], np.uint64))}
+    assert dealt == {r["first"] + s: h for r in whole for s, h in enumerate(np.frombuffer(r["hashes"], np.uint64))}
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_compared_rows_of_a_group_span_batches(size):
+    def row(g, part, key, first, hashes, chosen=None):
+        return g, part, key, first, np.array(hashes, np.uint64).tobytes(), chosen and np.array(chosen, np.int32).tobytes()
+
+    rows = [row(1, 0, 1, 0, [5, 6, 7]), row(1, 0, 2, 10, [9, 6, 7]), row(1, 0, 3, 20, [5]), row(2, 0, 4, 0, [5, 6]), row(2, 1, 5, 0, [8, 3], [2, 4]), row(2, 1, 6, 7, [3])]
+    kinds = [*[pa.int64()] * 4, pa.binary(), pa.binary()]
+    whole = pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["g", "part", "key", "first", "hashes", "chosen"])
+    batches = [whole.slice(at, size) for at in range(0, len(rows), size)]
+    got = pa.Table.from_batches(suffix_dedup._compared(LENGTH)(iter(batches))).to_pylist()
+    assert sorted((r["key"], r["start"], r["stop"]) for r in got) == [(1, 0, 402), (2, 11, 412), (3, 20, 420), (5, 4, 404), (6, 7, 407)]
+
+
+def test_many_kinds_with_one_prefix(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "_KINDS", 3)
+    monkeypatch.setattr(suffix_dedup, "_CHUNK", 50)
+    rng = random.Random(8)
+    base = prose(rng, 150)
+    rows = [(k, base[:at] + chr(0x100 + k) + base[at + 1 :]) for k, at in enumerate(rng.sample(range(len(base)), 25))]
+    check(spark, make_docs, rows)
