@@ -145,3 +145,51 @@ def test_many_kinds_with_one_prefix(spark, make_docs, monkeypatch):
     base = prose(rng, 150)
     rows = [(k, base[:at] + chr(0x100 + k) + base[at + 1 :]) for k, at in enumerate(rng.sample(range(len(base)), 25))]
     check(spark, make_docs, rows)
+
+
+def test_merge_has_one_row_for_three_places(spark, monkeypatch):
+    kept, store = {}, suffix_dedup.stored
+
+    def counted(frame, name):
+        made = store(frame, name)
+        kept.setdefault(name, []).append(made.count())
+        return made
+
+    monkeypatch.setattr(suffix_dedup, "stored", counted)
+    rows = [(s, p, 1 + (s + p * p) % 3) for s, size in ((7, 10), (8, 6), (9, 1)) for p in range(size)]
+    strings = suffix_dedup._next(spark.createDataFrame(rows, "sid long, place long, c long"), "c", suffix_dedup.END)
+    assert suffix_dedup.suffix_ranks(strings, 1).count() == 17
+    assert kept["merge"] == [4 + 2 + 1]
+
+
+def test_prefixes_travel_as_bytes(monkeypatch):
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(suffix_dedup, "TaskContext", Task)
+    h, place = np.arange(1, 61), np.arange(60)
+    at = (place * 40 << 16) | (np.where(place, 40, 0) << 8) | 40
+    batch = pa.record_batch([pa.array(np.full(60, 5)), pa.array(at), pa.array(h)], ["key", "at", "h"])
+    rows = pa.Table.from_batches(suffix_dedup._runs(LENGTH)(iter([batch]))).to_pylist()
+    assert len(rows) == 60 and max(r["n"] for r in rows) > 1
+    for r in rows:
+        assert isinstance(r["prefixes"], bytes) and len(r["prefixes"]) == 8 * min(r["n"], suffix_dedup.DEPTH)
+        if 0 < r["n"] <= suffix_dedup.DEPTH:
+            assert r["prefixes"][-8:] == np.int64(r["g"]).tobytes()
+
+
+def test_passages_of_over_fifty_words(spark, make_docs):
+    rng = random.Random(21)
+    texts, kinds = [], []
+    for k in range(24):  # words of 5 letters: 66 of them are 395 bytes, 67 are 401
+        words = 51 + k
+        passage = " ".join("".join(rng.choice("bcdfgh") for _ in range(5)) for _ in range(words))
+        texts += [f"{prose(rng, 80)}|{passage}|{prose(rng, 60)}" for _ in range(2)]
+        kinds += [words >= 67] * 2
+    texts += [prose(rng, 160) for _ in range(20)]
+    kinds += [False] * 20
+    rows = list(enumerate(texts))
+    got = {int(r.doc_id): r for r in suffix_dedup.without_repeats(make_docs(rows)).collect()}
+    assert [len(got[k].kept) < len(t.encode()) for k, t in rows] == kinds
+    check(spark, make_docs, rows)
